@@ -182,7 +182,7 @@ def distinctive(form: str, word: str, used: set[str], chain: tuple[tuple[str, st
         return lossy
     if chain[0][0] == "utf-8":
         return lossy or strange or ungarble(form, chain) == word
-    return (lossy or strange) and (lossy or len(form) > 2 or len(word) > 2)
+    return (lossy or strange) and (lossy or len(form) > 2 or any(c.isascii() and c.isalpha() for c in form))
 
 
 def forms(word: str, used: set[str]) -> Iterator[tuple[str, str]]:
@@ -190,7 +190,9 @@ def forms(word: str, used: set[str]) -> Iterator[tuple[str, str]]:
     japanese = len(word) == 2 and _KANA.match(word) is not None
     narrow = any("\uff61" <= c <= "\uff9f" for c in word)
     for name, chain in CHAIN_OF.items():
-        form = None if narrow and chain[0][0] != "utf-8" else garble(word, chain)
+        form = garble(word, chain)
+        if form is not None and narrow and chain[0][0] != "utf-8" and "�" not in form:
+            continue
         if form is None:
             continue
         if japanese:
