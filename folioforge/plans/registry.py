@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folioforge.plans import problems
+from folioforge.plans import documents, problems
 
-QUERIES = dict(problems.QUERIES)
-SQL = dict(problems.SQL)
+QUERIES = {**problems.QUERIES, **documents.QUERIES}
+SQL = {**problems.SQL, **documents.SQL}
