@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folioforge.plans import documents, problems
+from folioforge.plans import documents, problems, rendering
 
-QUERIES = {**problems.QUERIES, **documents.QUERIES}
-SQL = {**problems.SQL, **documents.SQL}
+QUERIES = {**problems.QUERIES, **documents.QUERIES, **rendering.QUERIES}
+SQL = {**problems.SQL, **documents.SQL, **rendering.SQL}

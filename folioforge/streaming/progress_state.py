@@ -29,6 +29,14 @@ def windowed(log: DataFrame, late: str = "30 days", width: str = "1 day") -> Dat
     return timed.groupBy(F.window("at", width), "status").agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), "status", "n")
 
 
+def _source(spark: SparkSession, path: str) -> tuple[str, str]:
+    """Folder to watch and the names to take there; a single file is watched through its folder."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if own.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(own).isDirectory():
+        return path, "*.parquet"
+    return str(own.getParent()), own.getName()
+
+
 def snapshot(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
     """Read a folder of parquet log files as a stream to its end; the state after the last batch.
 
@@ -36,7 +44,8 @@ def snapshot(spark: SparkSession, path: str, files_per_batch: int = 100) -> Data
     """
     schema = spark.read.parquet(path).schema
     own = f"{checkpoint_dir(spark)}/progress-{uuid.uuid4().hex}"
-    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    folder, names = _source(spark, path)
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", names).parquet(folder)
 
     def fold(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{own}/batch={number}")
