@@ -52,6 +52,8 @@ CHAINS: list[tuple[tuple[str, str], ...]] = (
 _HOLES = {"cp1252": (0x81, 0x8D, 0x8F, 0x90, 0x9D), "cp1251": (0x98,), "cp1250": (0x81, 0x83, 0x88, 0x90, 0x98)}
 _WORD = re.compile(r"(?:[A-Za-z]|[^\x00-\x7f])+")
 _RUN = re.compile(r"[^\x00-\x7f]+")
+_PAIR = re.compile(r"[^\x00-\x7f\u3000-\u9fff\uff00-\uffef]{2,}")
+_BLANK = re.compile("[\u2000-\u200b\u2010-\u2027\u00a0\u202f]")
 _NARROW = re.compile(r"[^\u3000-\u9fff\uff00-\uffef]+")
 _KANA = re.compile(r"[぀-ヿ㐀-鿿々ｦ-ﾟ！-～、。「」]")
 
@@ -133,40 +135,54 @@ def odd(text: str, used: set[str]) -> int:
     return sum(c > "\x7f" and c not in used and not common(c) for c in text)
 
 
-def words(text: str) -> set[str]:
+def odd_pattern(used: set[str]) -> re.Pattern:
+    """A replacement character, or one that neither the reference corpus uses nor is common."""
+    fine = sorted({*used, *(c for c in map(chr, range(0x3000, 0x10000)) if common(c))} - {"�"})
+    return re.compile("[^\\x00-\\x7f" + "".join(map(re.escape, fine)) + "]")
+
+
+def expand(found: set[str]) -> set[str]:
     """Words with a non-ASCII character, their non-ASCII runs, and neighbouring characters of Japanese."""
     out: set[str] = set()
-    for m in _WORD.finditer(text):
-        w = m.group()
+    for w in found:
         if w.isascii():
             continue
-        if len(w) <= 40:
+        if len(w) <= (40 if not _KANA.search(w) else 12):
             out.add(w)
         for run in _RUN.findall(w):
             if len(run) <= 12:
                 out.add(run)
             if len(run) > 1 and _KANA.search(run):
-                out.update(p for p in map("".join, zip(run, run[1:], strict=False)) if _KANA.match(p))
-        for piece in re.split(r"[  -‧]", w):
-            if piece and piece != w and not piece.isascii():
+                out.update([p for p in map("".join, zip(run, run[1:], strict=False)) if _KANA.match(p)])
+        for piece in _BLANK.split(w):
+            if piece != w and piece and not piece.isascii():
                 out.add(piece)
     return out
 
 
-def tokens(text: str) -> set[str]:
-    """What is looked up in the table: words, runs and windows."""
+def words(text: str) -> set[str]:
+    return expand(set(_WORD.findall(text)))
+
+
+def tokens(text: str, odd_: re.Pattern) -> set[str]:
+    """What is looked up in the table: words, runs, and windows that hold an odd character.
+
+    Every form of the table holds an odd character or a pair of narrow ones (a lead and a continuation byte), so a
+    text without either has no token that could match.
+    """
     if text.isascii():
         return set()
+    at = [m.start() for m in odd_.finditer(text)]
+    if not at and not _PAIR.search(text):
+        return set()
     out: set[str] = set()
-    for m in _WORD.finditer(text):
-        w = m.group()
+    for w in _WORD.findall(text):
         if not w.isascii():
             if len(w) <= 120:
                 out.add(w)
-            out.update(r for r in _RUN.findall(w) if len(r) <= 36)
-    high = [i for i, c in enumerate(text) if c > "\x7f"]
-    near = {i - WINDOW + 1 + k for i, j in zip(high, high[1:], strict=False) if j - i < WINDOW for k in range(j - i, WINDOW)}
-    out.update(text[i : i + WINDOW] for i in near if 0 <= i <= len(text) - WINDOW)
+            out.update([r for r in _RUN.findall(w) if len(r) <= 36])
+    last = len(text) - WINDOW
+    out.update([text[i : i + WINDOW] for i in {k for j in at for k in range(max(0, j - WINDOW + 1), min(j, last) + 1)}])
     return out
 
 
@@ -229,13 +245,16 @@ def clean_words(corpus: DataFrame, examined: DataFrame, used: set[str]) -> DataF
 
     def own(trusted: bool):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            seen: set[str] = set()
             for pdf in batches:
                 found: set[str] = set()
                 for text in set(pdf["text"]):
-                    if text:
-                        found |= words(text)
-                kept = [w for w in found if all(c <= "\x7f" or c in used or common(c) or "\uff61" <= c <= "\uff9f" or (c.isalpha() and c < "\u0250") for c in w)]
-                yield pd.DataFrame({"word": kept, "trusted": trusted})
+                    found.update(_WORD.findall(text))
+                new = found - seen
+                if len(seen) < 500_000:
+                    seen |= new
+                kept = [w for w in expand(new) if all(c <= "\x7f" or c in used or common(c) or "\uff61" <= c <= "\uff9f" or (c.isalpha() and c < "\u0250") for c in w)]
+                yield pd.DataFrame({"word": pd.Series(kept, dtype=object), "trusted": trusted})
 
         return run
 
@@ -243,8 +262,8 @@ def clean_words(corpus: DataFrame, examined: DataFrame, used: set[str]) -> DataF
     return both.groupBy("word").agg(F.max("trusted").alias("trusted"))
 
 
-def garbled_table(clean: DataFrame, used: set[str]) -> DataFrame:
-    """token, original, chain, originals (how many): garbled forms that are no trusted words."""
+def garbled_forms(clean: DataFrame, used: set[str]) -> DataFrame:
+    """token, original, chain: every garbled form of every clean word."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -252,30 +271,42 @@ def garbled_table(clean: DataFrame, used: set[str]) -> DataFrame:
             yield pd.DataFrame(out, columns=["token", "original", "chain"])
 
     width = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    every = clean.repartition(width, "word").mapInPandas(run, "token string, original string, chain string")
-    trusted = clean.where("trusted").select(F.col("word").alias("token"))
-    every = every.groupBy("token").agg(F.min(F.struct("chain", "original")).alias("m"), F.approx_count_distinct("original").alias("originals"))
-    return every.join(trusted, "token", "left_anti").select("token", "m.original", "m.chain", "originals")
+    return clean.select("word").repartition(width, "word").mapInPandas(run, "token string, original string, chain string")
+
 
+def distinct_tokens(examined: DataFrame, used: set[str]) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        odd_ = odd_pattern(used)
+        for pdf in batches:
+            found: set[str] = set()
+            for text in set(pdf["text"]):
+                found |= tokens(text, odd_)
+            yield pd.DataFrame({"token": pd.Series(list(found), dtype=object)})
 
-def _distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        found: set[str] = set()
-        for text in set(pdf["text"]):
-            found |= tokens(text)
-        yield pd.DataFrame({"token": list(found)}, dtype=object)
+    return examined.select("text").mapInPandas(run, "token string").distinct()
 
 
-def matched_tokens(examined: DataFrame, table: DataFrame) -> DataFrame:
-    """Hash join of the distinct tokens of the texts with the table."""
-    return examined.select("text").mapInPandas(_distinct, "token string").distinct().join(table, "token")
+def matched_tokens(examined: DataFrame, clean: DataFrame, used: set[str]) -> DataFrame:
+    """token, original, chain, originals (how many): hash join of the distinct tokens of the texts with the garbled forms.
+
+    The tokens are the smaller side; they are broadcast if a count shows that there are few.
+    """
+    from folioforge.session import checkpoint
+
+    own = checkpoint(distinct_tokens(examined, used))
+    clean = checkpoint(clean)
+    few = own.limit(BROADCAST_TOKENS + 1).count() <= BROADCAST_TOKENS
+    hit = garbled_forms(clean, used).join(F.broadcast(own) if few else own, "token")
+    table = hit.groupBy("token").agg(F.min(F.struct("chain", "original")).alias("m"), F.approx_count_distinct("original").alias("originals"))
+    trusted = clean.where("trusted").select(F.col("word").alias("token"))
+    return table.join(trusted, "token", "left_anti").select("token", "m.original", "m.chain", "originals")
 
 
 def affected(examined: DataFrame, corpus: DataFrame) -> DataFrame:
     """src_table, row_id, slot, text, hits (token, original, chain, originals) of the affected texts."""
     spark = examined.sparkSession
     used = repertoire(corpus)
-    matched = matched_tokens(examined, garbled_table(clean_words(corpus, examined, used), used))
+    matched = matched_tokens(examined, clean_words(corpus, examined, used), used)
     head = matched.limit(BROADCAST_TOKENS + 1).collect()
     out = "src_table string, row_id long, slot string, text string, hits array<struct<token:string,original:string,chain:string,originals:long>>"
     if len(head) <= BROADCAST_TOKENS:
@@ -283,9 +314,9 @@ def affected(examined: DataFrame, corpus: DataFrame) -> DataFrame:
 
         def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             known = shared.value
-            keys = known.keys()
+            keys, odd_ = known.keys(), odd_pattern(used)
             for pdf in batches:
-                cache = {t: [known[k] for k in sorted(keys & tokens(t))] for t in set(pdf["text"])}
+                cache = {t: [known[k] for k in sorted(keys & tokens(t, odd_))] for t in set(pdf["text"])}
                 hits = pdf["text"].map(cache)
                 pdf = pdf.assign(hits=hits)
                 yield pdf[hits.map(len) > 0]
@@ -293,8 +324,9 @@ def affected(examined: DataFrame, corpus: DataFrame) -> DataFrame:
         return examined.mapInPandas(probe, out)
 
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        odd_ = odd_pattern(used)
         for pdf in batches:
-            pdf = pdf.assign(token=[sorted(tokens(t)) for t in pdf["text"]])
+            pdf = pdf.assign(token=[sorted(tokens(t, odd_)) for t in pdf["text"]])
             yield pdf.explode("token").dropna(subset=["token"])
 
     each = examined.mapInPandas(explode, "src_table string, row_id long, slot string, text string, token string")
@@ -304,6 +336,8 @@ def affected(examined: DataFrame, corpus: DataFrame) -> DataFrame:
 def mend(text: str, hits: list[tuple[str, str, str, int]], used: set[str]) -> str:
     """The text with its garbled parts put back as far as they can be."""
     chains = sorted({CHAIN_OF[h[2]] for h in hits}, key=lambda c: (-len(c), name_of(c)))
+    # A token may come out of several chains, of which the table keeps one; those from UTF-8 can be told by decoding.
+    chains += [c for c in CHAINS if c[0][0] == "utf-8" and c[0][1] in _SINGLE and c not in chains]
     single = {h[0]: h[1] for h in hits if h[3] == 1}
 
     def part(piece: str) -> str:
