@@ -59,7 +59,7 @@ def measure(documents: DataFrame, folder: str = TOKENIZERS, vocabulary: str = VO
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = encoder(folder, vocabulary)
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": [len(own.encode_ordinary(t)) for t in pdf["text"]]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": np.array([len(own.encode_ordinary(t)) for t in pdf["text"]], np.int64)})
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.length("text") > 0)
     return texts.mapInPandas(run, "doc_id long, n_tokens long")
