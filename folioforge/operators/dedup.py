@@ -1,8 +1,8 @@
 """Duplicate files by a cascade of ever dearer keys, and which copy to keep.
 
-Size first, then the hash of a prefix, then the hash of all: each step keeps only groups of two or more, by a count per
-key that is joined back, so full contents are hashed for the few that are left and no group is gathered. Contents stay
-at the source until the last step.
+Sizes first: they are metadata, so contents of files whose size nobody shares are never read, as long as the repeated
+sizes are few enough to filter the scan with. What is left is hashed where it is read; only path, size, time and hash
+are shuffled, never a content. Equal keys are counted map-side, and no group is gathered in one task.
 """
 
 from __future__ import annotations
@@ -12,27 +12,33 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.text import copylike, human_size
 
-QUICK_BYTES = 1 << 20
+#: Repeated sizes that are broadcast to filter the scan; with more of them all contents are hashed.
+SIZES = 1_000_000
 
 
 def _repeated(files: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose keys occur twice or more. Equal keys are counted map-side first, so a hot key shuffles a count."""
+    """Rows whose keys occur twice or more. A hot key shuffles a count per task, and the rows join by AQE's skew split."""
     many = files.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > 1).drop("_n")
     return files.join(many, keys, "left_semi")
 
 
-def duplicates(files: DataFrame, strict_mtime: bool = False, quick_bytes: int = QUICK_BYTES) -> DataFrame:
+def duplicates(files: DataFrame, strict_mtime: bool = False, most_sizes: int = SIZES) -> DataFrame:
     """Rows (path, size, mtime, content) that have a copy: path, size, mtime, hash. Unreadable contents (null) are dropped.
 
     strict_mtime: copies must also have been changed in the same second.
     """
-    base = files.where(F.col("content").isNotNull())
-    base = _repeated(base, ["size"])
-    quick = base.withColumn("quick", F.sha2(F.substring("content", 1, quick_bytes), 256))
-    quick = _repeated(quick, ["size", "quick"])
-    keys = ["size", "hash", *(["mtime_s"] if strict_mtime else [])]
-    full = quick.withColumns({"hash": F.sha2("content", 256), "mtime_s": F.unix_seconds("mtime")}).drop("content", "quick")
-    return _repeated(full, keys).select("path", "size", "mtime", "hash", "mtime_s")
+    shared = files.groupBy("size").agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select("size")
+    few = shared.limit(most_sizes + 1).count() <= most_sizes
+    base = files.join(F.broadcast(shared), "size", "left_semi") if few else files
+    hashed = base.where(F.col("content").isNotNull()).select("path", "size", "mtime", F.sha2("content", 256).alias("hash"), F.unix_seconds("mtime").alias("mtime_s"))
+    return _repeated(hashed, ["size", "hash", *(["mtime_s"] if strict_mtime else [])])
+
+
+def known_content(files: DataFrame, stored: DataFrame) -> DataFrame:
+    """Files (path, size, content) with whether the store already has their content: by size, then by hash."""
+    key = lambda df: df.where(F.col("content").isNotNull()).select("path", "size", F.sha2("content", 256).alias("hash"))
+    there = key(stored).select("size", "hash").distinct().withColumn("_t", F.lit(True))
+    return key(files).join(there, ["size", "hash"], "left").select("path", "hash", F.coalesce("_t", F.lit(False)).alias("stored"))
 
 
 def ranked(copies: DataFrame, keys: list[str] | None = None) -> DataFrame:
