@@ -30,18 +30,23 @@ PART_ROWS = 200_000
 _LATE = 9_223_372_036_854_775_807
 
 
+# Separators and blanks that keys are written with.
+_LOOSE = ":-_ \t\r\n\u00a0\u3000\u200b\ufeff"
+
+
 def replica_key(column: Column) -> Column:
     """16 hexadecimal digits, or null. Accepts colons, blanks, leading underscores, a file ending and either case."""
-    bare = F.upper(F.regexp_replace(F.regexp_replace(column, r"(?i)\.nsf\s*$", ""), r"[^0-9A-Za-z]", ""))
-    return F.when(bare.rlike("^[0-9A-F]{16}$"), bare)
+    bare = F.translate(F.upper(column), _LOOSE, "")
+    bare = F.when(F.endswith(bare, F.lit(".NSF")), F.left(bare, F.length(bare) - 4)).otherwise(bare)
+    return F.when((F.length(bare) == 16) & bare.rlike("^[0-9A-F]{16}$"), bare)
 
 
 def unid_key(column: Column) -> Column:
     """32 hexadecimal digits, or null. Accepts groups with hyphens or colons, OF/ON marks and either case."""
-    bare = F.upper(F.regexp_replace(column, r"[^0-9A-Za-z:\-]", ""))
-    parted = F.regexp_replace(bare, r"^OF([0-9A-F]{8}:[0-9A-F]{8})-ON([0-9A-F]{8}:[0-9A-F]{8})$", "$1$2")
-    digits = F.regexp_replace(parted, "[:-]", "")
-    return F.when(digits.rlike("^[0-9A-F]{32}$"), digits)
+    bare = F.translate(F.upper(column), _LOOSE, "")
+    marked = (F.length(bare) == 36) & bare.startswith("OF") & (F.substring(bare, 19, 2) == "ON")
+    digits = F.when(marked, F.concat(F.substring(bare, 3, 16), F.substring(bare, 21, 16))).otherwise(bare)
+    return F.when((F.length(digits) == 32) & digits.rlike("^[0-9A-F]{32}$"), digits)
 
 
 def events(docs: DataFrame, stubs: DataFrame) -> DataFrame:
@@ -55,10 +60,12 @@ def events(docs: DataFrame, stubs: DataFrame) -> DataFrame:
 
 def references(links: DataFrame, attachments: DataFrame) -> DataFrame:
     """All references: ref_table, ref_id, key (null: names nothing), at (us), seen_at."""
-    blank = lambda c: F.when(F.trim(F.regexp_replace(c, "[  ]", "")) != "", F.col(c))
-    raw = lambda k: F.regexp_extract("raw", r"(?i)^\s*notes:/{2,3}[^/]*/([^/?]*)/[^/?]*/([^/?\s]*)", k)
-    url_replica, url_unid = (F.when(raw(k) != "", raw(k)) for k in (1, 2))
-    replica = F.coalesce(replica_key(F.coalesce(blank("replica"), url_replica, F.col("doc_replica"))))
+    blank = lambda c: F.when(F.translate(F.col(c), " \t\r\n\u00a0\u3000", "") != "", F.col(c))
+    # notes://host/replica/view/unid?query with any number of slashes after the scheme.
+    rest = F.when(F.lower(F.substring(F.trim("raw"), 1, 6)) == "notes:", F.ltrim(F.substring(F.trim("raw"), 7, 100_000), F.lit("/")))
+    step = lambda k: F.nullif(F.trim(F.substring_index(F.get(F.split(rest, "/"), F.lit(k)), "?", 1)), F.lit(""))
+    url_replica, url_unid = step(1), step(3)
+    replica = replica_key(F.coalesce(blank("replica"), url_replica, F.col("doc_replica")))
     link = links.select(F.lit("link_notes").alias("ref_table"), F.col("link_id").alias("ref_id"), unid_key(F.coalesce(blank("unid"), url_unid)).alias("u"), replica.alias("r"), "seen_at")
     att = attachments.select(F.lit("doc_attachments").alias("ref_table"), F.col("att_id").alias("ref_id"), unid_key(F.col("unid")).alias("u"), replica_key(F.col("replica")).alias("r"), "seen_at")
     every = link.union(att)
@@ -81,7 +88,7 @@ def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for name, group in pdf.groupby("part", sort=False):
             if name != part:
                 part, chunks, keys, alive = name, [], None, None
-            is_ref = group["ref_id"].notna().to_numpy()
+            is_ref = group["ref_table"].notna().to_numpy()
             if not is_ref.all():
                 chunks.append(group[~is_ref])
                 keys = None
@@ -116,19 +123,21 @@ def _ordered(entries: np.ndarray) -> np.ndarray:
 def orphans(refs: DataFrame, parents: DataFrame, range_digits: int = RANGE_DIGITS, part_rows: int = PART_ROWS) -> DataFrame:
     """ref_table, ref_id and seen_at of the references whose key isn't alive at their time."""
     spark = refs.sparkSession
-    keyed = refs.where(F.col("key").isNotNull()).withColumn("range", F.substring("key", 1, range_digits))
-    # At most 16 ** range_digits rows: their number doesn't depend on the data.
+    # Keys that name nothing go through as misses, spread by their id.
+    first = F.coalesce(F.substring("key", 1, range_digits), F.concat(F.lit("-"), F.pmod(F.xxhash64("ref_id"), F.lit(64)).cast("string")))
+    keyed = refs.withColumn("range", first)
+    # At most 16 ** range_digits + 64 rows: their number doesn't depend on the data.
     parts = keyed.groupBy("range").agg(F.greatest(F.ceil(F.count("*") / part_rows), F.lit(1)).cast("int").alias("parts"))
     own = keyed.join(F.broadcast(parts), "range")
-    salted = own.select(F.concat_ws("/", "range", F.pmod(F.xxhash64("ref_table", "ref_id"), F.col("parts")).cast("string")).alias("part"), "key", "at", F.lit(None).cast("int").alias("alive"), "ref_table", F.col("ref_id").cast("long").alias("ref_id"), F.unix_micros("seen_at").alias("seen_us"))
+    none = lambda kind: F.lit(None).cast(kind)
+    salted = own.select(F.concat_ws("/", "range", F.pmod(F.xxhash64("ref_table", "ref_id"), F.col("parts")).cast("string")).alias("part"), F.coalesce("key", F.lit("")).alias("key"), "at", none("int").alias("alive"), "ref_table", F.col("ref_id").cast("long").alias("ref_id"), F.unix_micros("seen_at").alias("seen_us"))
     spread = parents.withColumn("range", F.substring("key", 1, range_digits)).join(F.broadcast(parts), "range")
     spread = spread.select(F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("s"), "range", "key", "at", "alive")
-    spread = spread.select(F.concat_ws("/", "range", F.col("s").cast("string")).alias("part"), "key", "at", "alive", F.lit(None).cast("string").alias("ref_table"), F.lit(None).cast("long").alias("ref_id"), F.lit(None).cast("long").alias("seen_us"))
+    spread = spread.select(F.concat_ws("/", "range", F.col("s").cast("string")).alias("part"), "key", "at", "alive", none("string").alias("ref_table"), none("long").alias("ref_id"), none("long").alias("seen_us"))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    stream = spread.union(salted).repartition(width, "part").sortWithinPartitions("part", F.col("ref_id").isNotNull(), "key", "at")
+    stream = spread.union(salted).repartition(width, "part").sortWithinPartitions("part", F.col("ref_table").isNotNull())
     missed = stream.mapInPandas(_probe, "ref_table string, ref_id long, seen_us long")
-    unreadable = refs.where(F.col("key").isNull()).select("ref_table", F.col("ref_id").cast("long").alias("ref_id"), F.unix_micros("seen_at").alias("seen_us"))
-    return missed.union(unreadable).select("ref_table", "ref_id", F.timestamp_micros("seen_us").alias("seen_at"))
+    return missed.select("ref_table", "ref_id", F.timestamp_micros("seen_us").alias("seen_at"))
 
 
 def report(found: DataFrame) -> DataFrame:
