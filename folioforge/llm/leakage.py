@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -37,24 +38,17 @@ BLOCK_TOKENS = 2_000_000
 
 _TAG_IN = re.compile(r"</?(?:b|i|u|s|em|strong|span|font|a|sub|sup|small|mark|code)\b[^<>]{0,200}>", re.I)
 _TAG = re.compile(r"</?[a-z][a-z0-9]*\b[^<>@]{0,200}>|&nbsp;|&#160;", re.I)
+_MARK = re.compile(r"[\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff\uff66-\uff9f\U00020000-\U0003ffff]")
 _WORDS = re.compile(r"[^\W_]+")
 
 
-def _unseen() -> dict[int, None]:
-    import sys
-
-    return {c: None for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cf"}
-
-
-_CF: dict[int, None] = {}
+_CF = re.compile("[" + "".join(re.escape(chr(c)) for c in range(0x110000) if unicodedata.category(chr(c)) == "Cf") + "]")
 
 
 def normal(text: str) -> str:
     """Case, width, markup and invisible characters out of the way."""
     if not text.isascii():
-        if not _CF:
-            _CF.update(_unseen())
-        text = unicodedata.normalize("NFKC", text.translate(_CF))
+        text = unicodedata.normalize("NFKC", _CF.sub("", text))
     if "<" in text or "&" in text:
         text = _TAG.sub(" ", _TAG_IN.sub("", text))
     return text.casefold()
@@ -134,6 +128,9 @@ class Items:
         # Equal sequences of different items are searched once.
         self.distinct, self.inverse = np.unique(self.want, axis=0, return_inverse=True) if len(self.want) else (self.want, np.empty(0, np.int64))
         self.inverse = self.inverse.reshape(-1)
+        # Whether every sequence holds a letter of a script without spaces: then texts without one can't match.
+        marks = np.array([False] + [bool(_MARK.match(w)) for w in sorted(self.ids)])
+        self.marked = bool(len(self.distinct)) and bool(marks[self.distinct].any(1).all())
         letters = {ord(w): k for w, k in self.ids.items() if len(w) == 1}
         self.letters = np.zeros(max(letters, default=0) + 2, np.int32)
         for c, k in letters.items():
@@ -241,8 +238,8 @@ def leaks(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, mi
                 for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
                     own = words(text)
                     if known:
-                        by_word.add(doc, np.fromiter((known.get(w, 0) for w in own), np.int32, len(own)))
-                    if by_letter.items.ids:
+                        by_word.add(doc, np.fromiter(map(known.get, own, repeat(0)), np.int32, len(own)))
+                    if by_letter.items.ids and (not by_letter.items.marked or _MARK.search(text)):
                         codes = np.frombuffer("".join(own).encode("utf-32-le", "replace"), np.uint32)
                         by_letter.add(doc, letters[np.minimum(codes, len(letters) - 1)])
                     for shard in (by_word, by_letter):
