@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.functions.text import categories, iso_day, legacy_path, out_path, preview, title
+from folioforge.operators.progress import note_key
 
 # Items that are shown in the document itself.
 PRIMARY = ["Subject", "Form", "From", "SendTo", "PostedDate"]
@@ -18,7 +19,7 @@ def items(fields: DataFrame) -> DataFrame:
     Nulls in lists are dropped; a list without entries is no value. ``ord`` is that of the first, the value of the last.
     """
     listed = F.filter("value_list", lambda x: x.isNotNull())
-    own = fields.select(F.upper(F.trim("unid")).alias("unid"), "replica", "name", "type", "ord", "field_id", F.when(F.col("value") != "", F.col("value")).alias("value"), F.when(F.size(listed) > 0, listed).alias("value_list"))
+    own = fields.select(note_key(F.col("unid")).alias("unid"), "replica", "name", "type", "ord", "field_id", F.when(F.col("value") != "", F.col("value")).alias("value"), F.when(F.size(listed) > 0, listed).alias("value_list"))
     own = own.where(F.col("name").isNotNull() & (F.col("name") != "") & ~F.col("name").startswith("$") & (F.col("name") != "Form") & (F.col("value").isNotNull() | F.col("value_list").isNotNull()))
     last = own.groupBy("unid", "replica", "name").agg(F.min("ord").alias("ord"), F.max(F.struct("ord", "field_id", "type", "value", "value_list")).alias("l"))
     return last.select("unid", "replica", "name", "ord", "l.type", "l.value", "l.value_list")
@@ -45,7 +46,7 @@ def paths(docs: DataFrame, fields: DataFrame) -> DataFrame:
     """Output folder of every delivered note, and the older layout's: joined once with its subject and categories."""
     picked = items(fields).where(F.col("name").isin("Subject", "Categories"))
     wide = picked.groupBy("unid", "replica").agg(*[F.max(F.when(F.col("name") == n, F.col(c))).alias(f"{n}_{c}") for n in ("Subject", "Categories") for c in ("value", "value_list")])
-    own = docs.select("rec_id", F.upper(F.trim("unid")).alias("unid"), "replica", "db_title", "form", "created").where(F.col("unid").isNotNull())
+    own = docs.select("rec_id", note_key(F.col("unid")).alias("unid"), "replica", "db_title", "form", "created").where(F.col("unid").isNotNull())
     j = own.join(wide, ["unid", "replica"], "left")
     name = title(F.col("Subject_value"), F.col("Subject_value_list"), F.col("unid"))
     cats = categories(F.col("Categories_value"), F.col("Categories_value_list"))
@@ -56,4 +57,4 @@ def paths(docs: DataFrame, fields: DataFrame) -> DataFrame:
 def links(link_notes: DataFrame) -> DataFrame:
     """Links per note and kind: to a note (it has a unid), to a database only, or unusable."""
     kind = F.when(F.coalesce(F.trim("unid"), F.lit("")) != "", "note").when(F.coalesce(F.trim("replica"), F.lit("")) != "", "database").otherwise("other")
-    return link_notes.groupBy(F.upper(F.trim("doc_unid")).alias("doc_unid"), kind.alias("kind")).agg(F.count("*").alias("n_links"), F.countDistinct("raw").alias("n_targets"))
+    return link_notes.groupBy(note_key(F.col("doc_unid")).alias("doc_unid"), kind.alias("kind")).agg(F.count("*").alias("n_links"), F.countDistinct("raw").alias("n_targets"))

@@ -14,7 +14,8 @@ KEY = ["db", "unid"]
 
 
 def note_key(unid: Column) -> Column:
-    return F.upper(F.trim(unid))
+    """A unid in one spelling: upper case, without blanks of any kind around it."""
+    return F.upper(F.regexp_replace(unid, r"(?U)^\s+|\s+\z", ""))
 
 
 def latest(log: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions import text as fn
 from folioforge.operators import attachments, dedup, fields, progress, scan
+from folioforge.operators.progress import note_key
 from folioforge.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,7 +118,7 @@ def _(spark, base):
 @query("stem_join", r"SELECT line_no, regexp_extract(out_path, '([^/]*)\.[^./]+$', 1) AS unid, regexp_extract(out_path, '([^/]*)\.[^./]+$', 1) IN (SELECT upper(trim(unid)) FROM normalized_docs WHERE unid IS NOT NULL) AS matched FROM progress_log WHERE out_path IS NOT NULL")
 def _(spark, base):
     log = table(spark, base, "progress_log").where(F.col("out_path").isNotNull()).select("line_no", F.regexp_extract("out_path", r"([^/]*)\.[^./]+$", 1).alias("unid"))
-    docs = table(spark, base, "normalized_docs").select(F.upper(F.trim("unid")).alias("unid"))
+    docs = table(spark, base, "normalized_docs").select(note_key(F.col("unid")).alias("unid"))
     return scan.matched(log, docs, "unid").select("line_no", "unid", "matched")
 
 
@@ -135,7 +136,7 @@ _VIEWS = """views AS (SELECT upper(trim(unid)) AS key, CASE WHEN form = 'Memo' T
 
 @query("ordered_distinct_union", f"WITH {_VIEWS} SELECT key, (min(view_ord * 1000000000000 + pos) // 1000000000000)::INT AS view_ord, (min(view_ord * 1000000000000 + pos) % 1000000000000)::BIGINT AS pos FROM views WHERE key IS NOT NULL GROUP BY key")
 def _(spark, base):
-    d = table(spark, base, "normalized_docs").select(F.upper(F.trim("unid")).alias("unid"), "rec_id", "form")
+    d = table(spark, base, "normalized_docs").select(note_key(F.col("unid")).alias("unid"), "rec_id", "form")
     return scan.ordered_union([d.where("form = 'Memo'"), d.where("form = 'Minutes'"), d], "unid", "rec_id")
 
 

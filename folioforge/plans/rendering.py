@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions import text as fn
-from folioforge.operators import tokens
+from folioforge.operators import extraction, tokens
+from folioforge.operators.progress import note_key
 from folioforge.plans.documents import SQL as _SQL
 from folioforge.render import engine
 from folioforge.session import table
@@ -40,6 +41,9 @@ QUERIES["render_documents"] = lambda spark, base: engine.render(table(spark, bas
 QUERIES["stream_progress"] = lambda spark, base: progress_state.snapshot(spark, f"{base}/progress_log.parquet")
 
 
+QUERIES["render_files"] = lambda spark, base: engine.render_files(table(spark, base, "raw_records"), ("docx", "pdf")).select("record_id", "format", F.length("content").alias("size"), "error")
+
+
 def _notes_xml(spark: SparkSession, base: str) -> DataFrame:
     """The items of every note as exported XML: what an export of these notes would hold."""
     f = table(spark, base, "doc_fields")
@@ -48,7 +52,7 @@ def _notes_xml(spark: SparkSession, base: str) -> DataFrame:
     listed = F.concat(F.lit("<textlist>"), F.array_join(F.transform("value_list", lambda x: F.concat(F.lit("<text>"), esc(x), F.lit("</text>"))), ""), F.lit("</textlist>"))
     body = F.when(rich, F.concat(F.lit("<richtext><par>"), F.replace(esc(F.col("value")), F.lit("\n"), F.lit("</par><par>")), F.lit("</par></richtext>"))).when(F.col("value_list").isNotNull(), listed).otherwise(F.concat(F.lit("<text>"), esc(F.col("value")), F.lit("</text>")))
     item = F.concat(F.lit("<item name='"), F.col("name"), F.lit("'>"), F.coalesce(body, F.lit("")), F.lit("</item>"))
-    key = F.upper(F.trim("unid"))
+    key = note_key(F.col("unid"))
     notes = f.where("unid IS NOT NULL").groupBy(key.alias("unid"), "replica", "db_title").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "field_id", item.alias("x")))), lambda x: x["x"]), "").alias("items"))
     xml = F.concat(F.lit("<note><noteinfo unid='"), "unid", F.lit("'/>"), "items", F.lit("</note>"))
     return notes.select(F.concat_ws("/", "replica", "unid").alias("path"), "db_title", xml.alias("xml"))
@@ -72,6 +76,45 @@ QUERIES["dxl_report"] = _dxl_report
 SQL["dxl_report"] = "SELECT db_title, count(DISTINCT (upper(trim(unid)), replica))::BIGINT AS n_ok, 0::BIGINT AS n_failed FROM doc_fields WHERE unid IS NOT NULL GROUP BY db_title"
 
 
+def _notes_with_files(spark: SparkSession, base: str) -> DataFrame:
+    """The attachments of every note as exported XML; a file's content is its name."""
+    a = table(spark, base, "doc_attachments").where("unid IS NOT NULL AND name IS NOT NULL AND type = 'file'")
+    name = F.replace(fn.escape_html(fn.xml_text(F.col("name"))), F.lit("&#39;"), F.lit("&apos;"))
+    data = F.when(F.col("size") > 0, F.base64(F.encode("name", "UTF-8"))).otherwise("")
+    item = F.concat(F.lit("<item name='$FILE'><object><file name='"), name, F.lit("' size='"), F.col("size").cast("string"), F.lit("'><filedata>"), data, F.lit("</filedata></file></object></item>"))
+    ref = F.concat(F.lit("<attachmentref name='"), name, F.lit("'/>"))
+    each = a.groupBy(note_key(F.col("unid")).alias("unid")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("att_id", item.alias("x")))), lambda x: x["x"]), "").alias("items"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("att_id", ref.alias("x")))), lambda x: x["x"]), "").alias("refs"))
+    xml = F.concat(F.lit("<note><noteinfo unid='"), "unid", F.lit("'/>"), "items", F.lit("<item name='Body'><richtext><par>"), "refs", F.lit("</par></richtext></item></note>"))
+    return each.select(F.col("unid").alias("path"), F.lit("").alias("db_title"), xml.alias("xml"))
+
+
+def _extract(spark: SparkSession, base: str) -> DataFrame:
+    return extraction.extract(_notes_with_files(spark, base)).select("path", "name", "sha256", "size")
+
+
+QUERIES["extract_files"] = _extract
+SQL["extract_files"] = "SELECT DISTINCT upper(trim(unid)) AS path, name, max(CASE WHEN size > 0 THEN sha256(name) END) OVER w AS sha256, max(CASE WHEN size > 0 THEN strlen(name) ELSE 0 END) OVER w AS size FROM doc_attachments WHERE unid IS NOT NULL AND name IS NOT NULL AND type = 'file' WINDOW w AS (PARTITION BY upper(trim(unid)), name)"
+
+
+def _file_references(spark: SparkSession, base: str) -> DataFrame:
+    notes = _notes_with_files(spark, base)
+    return extraction.references(notes, extraction.extract(notes))
+
+
+QUERIES["file_references"] = _file_references
+
+
+def _empty_folders(spark: SparkSession, base: str) -> DataFrame:
+    a = table(spark, base, "doc_attachments").where("unid IS NOT NULL")
+    folders = a.select(F.concat_ws("/", F.lit("out"), note_key(F.col("unid"))).alias("path")).distinct()
+    files_ = a.where("content_path IS NOT NULL").select(F.concat_ws("/", F.lit("out"), note_key(F.col("unid")), "content_path").alias("path"))
+    return extraction.empty_folders(folders, files_)
+
+
+QUERIES["empty_folders"] = _empty_folders
+SQL["empty_folders"] = "SELECT 'out/' || upper(trim(unid)) AS path FROM doc_attachments WHERE unid IS NOT NULL GROUP BY 1 HAVING count(content_path) = 0"
+
+
 def _log_lines(spark: SparkSession, base: str) -> DataFrame:
     log = table(spark, base, "progress_log")
     raw = log.select("line_no", F.to_json(F.struct("ts", "db", "unid", "status", F.col("try_no").alias("try"), "err", F.col("out_path").alias("out"))).alias("value"))

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.operators import nested
-from folioforge.render import html, md
+from folioforge.render import docx, html, md, pdf
 
 FORMATS = {"html": html.render, "md": md.render}
+BINARY = {"docx": docx.render, "pdf": pdf.render}
 
 
 def _lists(doc):
@@ -41,8 +42,29 @@ def render(records: DataFrame, formats: tuple[str, ...] = ("html",)) -> DataFram
                     out.append((record, fmt, None, f"{type(e).__name__}: {e}"[:400]))
             yield pd.DataFrame(out, columns=["record_id", "format", "output", "error"])
 
-    each = records.select(F.col("record_id").cast("long").alias("record_id"), F.col("payload").cast("string").alias("payload"), F.explode(F.array(*map(F.lit, formats))).alias("format"))
-    return each.mapInPandas(run, "record_id long, format string, output string, error string")
+    return _each(records, formats).mapInPandas(run, "record_id long, format string, output string, error string")
+
+
+def _each(records: DataFrame, formats: tuple[str, ...]) -> DataFrame:
+    return records.select(F.col("record_id").cast("long").alias("record_id"), F.col("payload").cast("string").alias("payload"), F.explode(F.array(*map(F.lit, formats))).alias("format"))
+
+
+def render_files(records: DataFrame, formats: tuple[str, ...] = ("html", "docx", "pdf")) -> DataFrame:
+    """record_id, format, content (bytes), error: every format as a file's content."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf_ in batches:
+            out = []
+            for record, payload, fmt in zip(pdf_["record_id"], pdf_["payload"], pdf_["format"], strict=True):
+                doc = nested.load(payload)
+                try:
+                    made = None if not doc else BINARY[fmt](_lists(doc)) if fmt in BINARY else FORMATS[fmt](_lists(doc)).encode("utf-8", "replace")
+                    out.append((record, fmt, made, None if doc else "no document"))
+                except Exception as e:  # noqa: BLE001 - one document must not end the job
+                    out.append((record, fmt, None, f"{type(e).__name__}: {e}"[:400]))
+            yield pd.DataFrame(out, columns=["record_id", "format", "content", "error"])
+
+    return _each(records, formats).mapInPandas(run, "record_id long, format string, content binary, error string")
 
 
 def text_of(doc: dict) -> str:

@@ -37,3 +37,15 @@ def inventory(spark: SparkSession, folder: str, with_content: bool = False) -> D
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     columns = ["path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime")]
     return files.select(*columns, *(["content"] if with_content else []))
+
+
+def profiles(spark: SparkSession, path: str) -> DataFrame:
+    """Profiles of a file, an object with ``profiles`` or a bare list: name and settings; unnamed ones are numbered.
+
+    Of equal names the last counts.
+    """
+    text = spark.read.text(path, wholetext=True).select("value")
+    listed = F.coalesce(F.get_json_object("value", "$.profiles"), F.col("value"))
+    each = text.select(F.posexplode(F.from_json(listed, "array<map<string,string>>")).alias("pos", "settings"))
+    named = each.withColumn("name", F.coalesce(F.try_element_at("settings", F.lit("name")), F.concat(F.lit("profile_"), (F.col("pos") + 1).cast("string"))))
+    return named.groupBy("name").agg(F.max(F.struct("pos", F.map_entries("settings").alias("e"))).alias("m")).select("name", F.map_from_entries("m.e").alias("settings"))

@@ -131,3 +131,46 @@ def test_attachment_names(spark):
     df = spark.createDataFrame(rows, "att_id long, unid string, name string, type string, saved_name string, ref_name string, content_path string")
     assert {(r["att_id"], r["file_name"]) for r in attachments.preferred_name(df).collect()} == {(1, "a.txt"), (2, "a_2.txt"), (3, "attachment.gif"), (4, "a.txt")}
     assert attachments.resolve(df).collect()[0]["path"] is None
+
+
+def test_docx_and_pdf(spark):
+    import io
+    import re
+    import zipfile
+    import zlib
+    from xml.etree import ElementTree
+
+    doc, _ = dxl.parse(NOTE, "DB")
+    records = spark.createDataFrame([(1, json.dumps(doc)), (2, "{"), (3, json.dumps({"meta": {"error": "bad"}, "fields": {}}))], "record_id long, payload string")
+    out = {(r["record_id"], r["format"]): r for r in engine.render_files(records).collect()}
+    assert out[2, "pdf"]["error"] == "no document" and out[2, "docx"]["content"] is None
+    package = zipfile.ZipFile(io.BytesIO(bytes(out[1, "docx"]["content"])))
+    tree = ElementTree.fromstring(package.read("word/document.xml"))
+    w = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
+    text = "".join(x.text or "" for x in tree.iter(f"{w}t"))
+    assert "Hello | there" in text and "1. one2. two" in text.replace("\n", "") and "[D.txt]" in text and "Appendix" in text
+    rows = [[len(tc.findall(f"{w}tcPr/{w}vMerge")) for tc in tr.findall(f"{w}tc")] for tr in next(tree.iter(f"{w}tbl")).findall(f"{w}tr")]
+    assert rows == [[0], [1, 0], [1, 0]]
+    pdf = bytes(out[1, "pdf"]["content"])
+    assert pdf.startswith(b"%PDF-") and pdf.rstrip().endswith(b"%%EOF")
+    streams = [zlib.decompress(x) for x in re.findall(rb"stream\n(.*?)\nendstream", pdf, re.S)]
+    shown = "".join(bytes.fromhex(h.decode()).decode("utf-16-be") for s in streams for h in re.findall(rb"<([0-9a-f]+)>", s))
+    assert "Hello | there" in shown and "1. one" in shown and "https://a.example" in shown
+    start = int(pdf.rsplit(b"startxref", 1)[1].split()[0])
+    assert pdf[start : start + 4] == b"xref"
+
+
+def test_extraction_and_folders(spark, tmp_path):
+    from folioforge.operators import extraction
+
+    notes = spark.createDataFrame([("n1", NOTE), ("n2", "<broken")], "path string, xml string")
+    got = {r["name"]: r for r in extraction.extract(notes).collect()}
+    assert got["d.txt"]["file_name"] == "D.txt" and bytes(got["d.txt"]["content"]) == b"hello" and got["d.txt"]["content_path"] == "attachments/D.txt"
+    assert got["inline_image_0"]["file_name"] == "inline_image_0.gif" and len(got) == 2
+    refs = {r["t"]: r["content_path"] for r in extraction.references(notes, extraction.extract(notes)).collect()}
+    assert refs == {"attachmentref": "attachments/D.txt", "img": "attachments/inline_image_0.gif"}
+    folders = spark.createDataFrame([("a",), ("a/b",), ("a/c",), ("a/c/d",), ("e",)], "path string")
+    held = spark.createDataFrame([("a/b/x.txt",)], "path string")
+    assert {r["path"] for r in extraction.empty_folders(folders, held, keep=("e",)).collect()} == {"a/c", "a/c/d"}
+    (tmp_path / "p.json").write_text(json.dumps({"profiles": [{"name": "a", "type": "x"}, {"type": "y"}, {"name": "a", "type": "z"}]}))
+    assert {r["name"]: r["settings"]["type"] for r in files.profiles(spark, str(tmp_path / "p.json")).collect()} == {"a": "z", "profile_2": "y"}
