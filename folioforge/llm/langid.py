@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,8 +57,9 @@ _LOG = re.compile(r"^\s*\d{4}-\d\d-\d\d[T ]\d\d:\d\d")
 _QUOTE = re.compile(r"^\s*(?:>+|\|)\s+(?=\S)")
 _END = re.compile(r"(?<=[.!?…．])[\"”’»)\]]*\s+|(?<=[。！？])[」』）]*")
 _DONE = re.compile(r"[.!?…。！？．][\"”’»“)\]」』）]*\**$")
+_DIGITS = re.compile(r"\d+")
 _SPACELESS = re.compile(r"[぀-ヿ㐀-鿿]")
-_CLEAN = {c: None for c in (*range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2065), 0xAD, 0xFEFF)}
+_CLEAN = "".join(map(chr, (*range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2065), 0xAD, 0xFEFF)))
 
 
 def canonical(label: Column) -> Column:
@@ -70,8 +72,12 @@ def canonical(label: Column) -> Column:
 
 def plain(text: str) -> str:
     """As the models see it: width and case folded, digits as 0, one blank between words."""
-    text = unicodedata.normalize("NFKC", text.translate(_CLEAN)).lower()
-    return re.sub(r"\s+", " ", re.sub(r"\d+", "0", text)).strip()
+    if not text.isascii():
+        if any(c in text for c in _CLEAN):
+            text = text.translate(dict.fromkeys(map(ord, _CLEAN)))
+        text = unicodedata.normalize("NFKC", text)
+    text = text.lower()
+    return " ".join(_DIGITS.sub("0", text).split())
 
 
 def sentences(text: str) -> list[tuple[str, int, bool]]:
@@ -82,21 +88,22 @@ def sentences(text: str) -> list[tuple[str, int, bool]]:
     def close() -> None:
         if not block:
             return
-        joined, places = "", []
+        joined, starts, places = "", [], []
         for line, at in block:
             if joined and not _SPACELESS.match(joined[-1]) and not _SPACELESS.match(line[:1]) and joined[-1] not in "。、":
                 joined += " "
-                places.append(at)
+            starts.append(len(joined))
+            places.append(at)
             joined += line
-            places.extend(range(at, at + len(line)))
         begin = 0
         for stop in [m.end() for m in _END.finditer(joined)] + [len(joined)]:
-            piece = joined[begin:stop].strip()
+            raw = joined[begin:stop]
+            piece = raw.strip()
             if piece:
-                lead = begin + len(joined[begin:stop]) - len(joined[begin:stop].lstrip())
-                size = sum(map(str.isalpha, piece))
-                enough = size >= SPACELESS_LETTERS if _SPACELESS.search(piece) else size >= SENTENCE_LETTERS and len(piece.split()) >= SENTENCE_WORDS
-                out.append((piece, places[lead], bool(enough and _DONE.search(piece))))
+                lead = begin + len(raw) - len(raw.lstrip())
+                k = bisect_right(starts, lead) - 1
+                whole = _DONE.search(piece) is not None and (sum(map(str.isalpha, piece)) >= SPACELESS_LETTERS if _SPACELESS.search(piece) else len(piece.split()) >= SENTENCE_WORDS and sum(map(str.isalpha, piece)) >= SENTENCE_LETTERS)
+                out.append((piece, places[k] + lead - starts[k], whole))
             begin = stop
         block.clear()
 
@@ -220,16 +227,17 @@ class Models:
 
     def judge(self, texts: list[str]) -> list[tuple[str | None, float]]:
         """(language or None if rejected, confidence) of each text."""
-        out: list[tuple[str | None, float]] = []
-        h = self.entropies(texts)
-        for text, row in zip(texts, h, strict=True):
-            order = np.argsort(row, kind="stable")
-            best, lead = order[0], row[order[1]] - row[order[0]] if len(row) > 1 else np.inf
-            weight = np.exp(np.maximum(-(row - row[best]) * len(text), -700))
-            sure = float(1 / weight.sum())
-            kept = row[best] <= self.bound[best] and lead >= LEAD and lead * len(text) >= LEAD_ALL
-            out.append((self.languages[best] if kept else None, sure))
-        return out
+        if not texts:
+            return []
+        h, size = self.entropies(texts), np.array([len(t) for t in texts])
+        rows = np.arange(len(texts))
+        best = h.argmin(1)
+        own = h[rows, best]
+        second = np.where(np.arange(h.shape[1])[None, :] == best[:, None], np.inf, h).min(1) if h.shape[1] > 1 else np.full(len(texts), np.inf)
+        lead = second - own
+        sure = 1 / np.exp(np.maximum(-(h - own[:, None]) * size[:, None], -700)).sum(1)
+        kept = (own <= self.bound[best]) & (lead >= LEAD) & (lead * size >= LEAD_ALL)
+        return [(self.languages[b] if k else None, float(x)) for b, k, x in zip(best, kept, sure, strict=True)]
 
     def calibrate(self, held: dict[str, list[str]]) -> None:
         """Per language: what its own held-out sentences need, or what nearly all sentences of other languages exceed."""
@@ -246,8 +254,10 @@ def _labelled(documents: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             counts: dict[tuple[str, str], int] = {}
+            bare: dict[str, str] = {}
             for lang, text in zip(pdf["code"], pdf["text"], strict=True):
-                for s in {plain(x) for x, _, whole in sentences(text) if whole}:
+                own = {x for x, _, whole in sentences(text) if whole and len(x) <= 500}
+                for s in {bare.get(x) or bare.setdefault(x, plain(x)) for x in own}:
                     if len(s) <= 400:
                         counts[lang, s] = counts.get((lang, s), 0) + 1
             yield pd.DataFrame([(a, b, n) for (a, b), n in counts.items()], columns=["code", "sentence", "n"])
@@ -302,12 +312,14 @@ def segments(documents: DataFrame, models: Models) -> DataFrame:
         for pdf in batches:
             split = [sentences(t) if t and t.strip() else [] for t in pdf["text"]]
             split = [s if any(w for *_, w in s) or not s else [(" ".join(x for x, *_ in s), s[0][1], False)] for s in split]
-            texts = sorted({plain(x) for s in split for x, *_ in s})
-            known = dict(zip(texts, judge_(texts), strict=True))
+            bare = {x: plain(x) for x in {x for s in split for x, *_ in s}}
+            texts = sorted(set(bare.values()))
+            judged_ = dict(zip(texts, judge_(texts), strict=True))
+            known = {x: judged_[y] for x, y in bare.items()}
             out = []
             for doc, label, parts in zip(pdf["doc_id"], pdf["label"], split, strict=True):
                 short = lambda x, whole: not whole and len(x) < 25 and len(parts) > 1  # noqa: E731, B023
-                judged = [(*((None, 0.0) if short(x, whole) else known[plain(x)]), at, len(x), whole) for x, at, whole in parts]
+                judged = [(*((None, 0.0) if short(x, whole) else known[x]), at, len(x), whole) for x, at, whole in parts]
                 size: dict[str, int] = {}
                 for lang, _, _, n, _ in judged:
                     if lang:
