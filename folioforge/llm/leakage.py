@@ -42,13 +42,22 @@ _MARK = re.compile(r"[\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff\uff66-\uff9f\U0002
 _WORDS = re.compile(r"[^\W_]+")
 
 
-_CF = re.compile("[" + "".join(re.escape(chr(c)) for c in range(0x110000) if unicodedata.category(chr(c)) == "Cf") + "]")
+#: Which code points are invisible formatting characters.
+_CF = np.zeros(0x110000, bool)
+_CF[[c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cf"]] = True
+
+
+def visible(text: str) -> str:
+    """The text without invisible formatting characters."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    hidden = _CF[codes]
+    return codes[~hidden].tobytes().decode("utf-32-le", "surrogatepass") if hidden.any() else text
 
 
 def normal(text: str) -> str:
     """Case, width, markup and invisible characters out of the way."""
     if not text.isascii():
-        text = unicodedata.normalize("NFKC", _CF.sub("", text))
+        text = unicodedata.normalize("NFKC", visible(text))
     if "<" in text or "&" in text:
         text = _TAG.sub(" ", _TAG_IN.sub("", text))
     return text.casefold()
