@@ -17,7 +17,8 @@ Every document is classified whole. Log lines, table rows, paths and signatures
 starts are dropped and wrapped lines joined.
 
 Defined results: null and empty texts have no language and are no case; a text without one whole sentence is judged as
-one segment; segments that are rejected count for no language; repeated documents count each under their own id.
+one segment; segments that are rejected count for no language; repeated documents count each under their own id;
+without any labelled sentence nothing can be learned, and every text has no language.
 """
 
 from __future__ import annotations
@@ -154,6 +155,9 @@ class Models:
     def __init__(self, sample: dict[str, list[str]]):
         self.languages = sorted(sample)
         n = len(self.languages)
+        self.bound = np.full(n, np.inf)
+        if not n:
+            return
         per = [self._count(sample[lang]) for lang in self.languages]
         alphabet = len(np.unique(np.concatenate([p[0][0] for p in per]))) + 1
         self.floor = 1.0 / alphabet
@@ -175,7 +179,6 @@ class Models:
             self.mass.append(mass)
             self.heads.append(heads)
             self.back.append(back)
-        self.bound = np.full(n, np.inf)
 
     @staticmethod
     def _count(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -227,8 +230,8 @@ class Models:
 
     def judge(self, texts: list[str]) -> list[tuple[str | None, float]]:
         """(language or None if rejected, confidence) of each text."""
-        if not texts:
-            return []
+        if not texts or not self.languages:
+            return [(None, 0.0)] * len(texts)
         h, size = self.entropies(texts), np.array([len(t) for t in texts])
         rows = np.arange(len(texts))
         best = h.argmin(1)
@@ -288,7 +291,7 @@ def train(documents: DataFrame, per_language: int = TRAIN_SENTENCES) -> Models:
             rare[i][lang] = [s for s, x in picked.items() if not x][i::2]
     sure = {k: v for k, v in sure.items() if v or rare[0][k]}
     if not sure:
-        raise ValueError("no labelled sentence to train on")
+        return Models({})
     models = [Models({k: v + rare[i][k] for k, v in sure.items()}) for i in (0, 1)]
     kept: list[dict[str, list[str]]] = []
     for i in (0, 1):

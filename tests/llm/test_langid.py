@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from folioforge.llm import langid as L
 
@@ -58,8 +59,9 @@ def test_found_and_empty(spark, trained):
     got = {r["doc_id"] for r in L.found(df).collect()}
     wrong = {i for i, _, label, code in rows if label in ALL and label != code}
     assert wrong <= got and len(got - wrong) <= 1
-    with pytest.raises(ValueError):
-        L.train(df.limit(0))
+    assert L.found(df.limit(0)).count() == 0
+    unlabelled = df.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["main"] for r in L.segments(unlabelled, L.train(unlabelled)).collect()} == {None} and L.found(unlabelled).count() == 0
 
 
 def test_kneser_ney_sums_to_one(trained):
