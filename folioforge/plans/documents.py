@@ -151,10 +151,10 @@ def _(spark, base):
     return scan.childless(table(spark, base, "note_dbs").select("replica", "title"), table(spark, base, "link_notes"), "replica")
 
 
-@query("files_since", f"WITH {_FILES} SELECT path, mtime FROM files WHERE ends_with(lower(path), '.txt') AND mtime >= TIMESTAMPTZ '2024-06-01 00:00:00+00'")
+@query("files_since", f"WITH {_FILES} SELECT path, epoch_us(mtime)::BIGINT AS mtime_us FROM files WHERE ends_with(lower(path), '.txt') AND mtime >= TIMESTAMPTZ '2024-06-01 00:00:00+00'")
 def _(spark, base):
     files = _files(spark, base).withColumnRenamed("mtime", "created")
-    return scan.since(files, ".TXT", "2024-06-01 00:00:00").select("path", F.col("created").alias("mtime"))
+    return scan.since(files, ".TXT", "2024-06-01 00:00:00").select("path", F.unix_micros("created").alias("mtime_us"))
 
 
 @query("path_guard", "SELECT att_id, content_path, starts_with(content_path, 'attachments/') AS inside FROM doc_attachments WHERE content_path IS NOT NULL")
@@ -198,9 +198,9 @@ def _(spark, base):
 # Items of notes
 
 
-@query("item_values", f"WITH {_ITEMS} SELECT unid, replica, name, ord, type, value, value_list FROM items")
+@query("item_values", f"WITH {_ITEMS} SELECT unid, replica, name, ord, type, value, array_to_string(value_list, '|') AS value_list FROM items")
 def _(spark, base):
-    return fields.items(table(spark, base, "doc_fields"))
+    return fields.items(table(spark, base, "doc_fields")).withColumn("value_list", F.array_join("value_list", "|"))
 
 
 @query("item_typed", f"WITH {_ITEMS}, n AS (SELECT *, try_cast(replace(value, ',', '.') AS DOUBLE) AS num FROM items) SELECT unid, replica, name, CASE WHEN value_list IS NOT NULL THEN 'list' WHEN starts_with(type, 'number') AND num IS NOT NULL THEN 'number' ELSE 'text' END AS kind, coalesce(len(value_list), 0)::INT AS n_list, CASE WHEN starts_with(type, 'number') THEN num END AS number, coalesce(value, array_to_string(value_list, ', ')) AS text FROM n")
