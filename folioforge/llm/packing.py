@@ -207,24 +207,29 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, folder: str = TOKENIZER
     cut = checkpoint(pieces(measure(documents, folder, vocabulary), capacity).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int")))
     # MOST_BUCKETS x capacity rows at most.
     counts = cut.groupBy("n_tokens", "bucket").agg(F.count("*").alias("n")).toPandas()
-    counts = counts.sort_values(["n_tokens", "bucket"])
-    counts["first"] = counts.groupby("n_tokens")["n"].cumsum() - counts["n"]
-    first = {(int(r.bucket), int(r.n_tokens)): int(r.first) for r in counts.itertuples()}
-    histogram = {int(k): int(v) for k, v in counts.groupby("n_tokens")["n"].sum().items()}
+    table = np.zeros((buckets, capacity + 1), np.int64)
+    table[counts["bucket"], counts["n_tokens"]] = counts["n"]
+    first = np.cumsum(table, 0) - table  # rank of the first text of a length in each bucket
+    histogram = {int(k): int(n) for k, n in enumerate(table.sum(0)) if n}
     shared = spark.sparkContext.broadcast((_segments(plan(histogram, capacity)), first))
     wide = 1 << 40
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         (length, start, base, each), offset = shared.value
         keys = length * wide + start
-        seen: dict[tuple[int, int], int] = {}
+        last, before = None, 0  # the run that the batch before ended in, and its rows so far
         for pdf in batches:
-            rank = np.empty(len(pdf), np.int64)
-            for i, key in enumerate(zip(pdf["bucket"].tolist(), pdf["n_tokens"].tolist(), strict=True)):
-                k = seen.get(key, 0)
-                seen[key] = k + 1
-                rank[i] = offset[key] + k
-            at = np.searchsorted(keys, pdf["n_tokens"].to_numpy(np.int64) * wide + rank, side="right") - 1
+            bucket, tokens = pdf["bucket"].to_numpy(np.int64), pdf["n_tokens"].to_numpy(np.int64)
+            fresh = np.ones(len(pdf), bool)
+            fresh[1:] = (bucket[1:] != bucket[:-1]) | (tokens[1:] != tokens[:-1])
+            begin = np.flatnonzero(fresh)
+            run = np.cumsum(fresh) - 1
+            place_ = np.arange(len(pdf)) - begin[run]
+            if last == (bucket[0], tokens[0]):
+                place_[run == 0] += before
+            last, before = (bucket[-1], tokens[-1]), int(place_[-1]) + 1
+            rank = offset[bucket, tokens] + place_
+            at = np.searchsorted(keys, tokens * wide + rank, side="right") - 1
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "piece": pdf["piece"], "n_tokens": pdf["n_tokens"], "container_id": base[at] + (rank - start[at]) // each[at]})
 
     # All rows of a bucket meet in one task, in order of length and id; a task holds counters only.
