@@ -6,8 +6,8 @@ the parents of a range into one sorted array and probes the references that foll
 search. An entry of the array is key + time, so one search finds the last event of a key up to a time.
 
 A range that draws many references is split by a salt, as many ways as its measured count asks for; its parents go to
-every part. The counts are at most one row per range, whatever the data. Parents are reduced to the turns of their
-state before they are shuffled to their ranges.
+every part. The counts are at most one row per range. Parents are reduced to the turns of their state before they are
+shuffled to their ranges, and the number of ranges follows the number of parents, so that a range stays small.
 
 Defined results: keys that can't be read name nothing, so their references are orphans; deliveries without a key are
 none; a reference without ``seen_at`` is compared with all events; a delivery and a deletion at one instant count as
@@ -16,14 +16,16 @@ deletion, then delivery; repeated references are reported each under its own id.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Hexadecimal digits of the unid that name a range: 16 ** 3 ranges.
+#: Least hexadecimal digits of the unid that name a range.
 RANGE_DIGITS = 3
 #: References that one part of a range takes before the range is split.
 PART_ROWS = 200_000
@@ -50,12 +52,27 @@ def unid_key(column: Column) -> Column:
 
 
 def events(docs: DataFrame, stubs: DataFrame) -> DataFrame:
-    """Deliveries and deletions: key, at (us), alive. Events that repeat the state before are dropped map-side where possible."""
-    made = docs.select(unid_key(F.col("unid")).alias("u"), replica_key(F.col("replica")).alias("r"), F.unix_micros("received_at").alias("at"), F.lit(1).alias("alive"))
-    gone = stubs.select(unid_key(F.col("unid")).alias("u"), replica_key(F.col("replica")).alias("r"), F.unix_micros("deleted_at").alias("at"), F.lit(0).alias("alive"))
-    both = made.union(gone).where(F.col("u").isNotNull() & F.col("r").isNotNull() & F.col("at").isNotNull())
-    # At one instant the delivery counts; copies of an event are merged before they are shuffled.
-    return both.groupBy(F.concat("u", "r").alias("key"), "at").agg(F.max("alive").alias("alive"))
+    """The turns of each key's state: key, at (us), alive.
+
+    A key that was never deleted has one turn, its first delivery: a minimum, combined map-side, so a key with any
+    number of deliveries shuffles a row per task. Only for keys with deletions are all events put in order, and those
+    that repeat the state before are dropped.
+    """
+    made = docs.select(F.concat(unid_key(F.col("unid")), replica_key(F.col("replica"))).alias("key"), F.unix_micros("received_at").alias("at"), F.lit(1).alias("alive"))
+    gone = stubs.select(F.concat(unid_key(F.col("unid")), replica_key(F.col("replica"))).alias("key"), F.unix_micros("deleted_at").alias("at"), F.lit(0).alias("alive"))
+    made, gone = (x.where(F.col("key").isNotNull() & F.col("at").isNotNull()) for x in (made, gone))
+    deleted = gone.select("key").distinct()
+    plain = made.groupBy("key").agg(F.min("at").alias("at")).join(deleted, "key", "left_anti").select("key", "at", F.lit(1).alias("alive"))
+    # At one instant the delivery counts.
+    moved = made.join(deleted, "key", "left_semi").union(gone).groupBy("key", "at").agg(F.max("alive").alias("alive"))
+    before = F.lag("alive").over(W.partitionBy("key").orderBy("at"))
+    turns = moved.withColumn("before", before).where(~F.col("before").eqNullSafe(F.col("alive"))).drop("before")
+    return plain.unionByName(turns)
+
+
+def range_digits(parents: int, each: int = 100_000) -> int:
+    """Digits that cut so many parents into ranges of about ``each``: 3 to 5, so at most 16 ** 5 ranges."""
+    return min(5, max(RANGE_DIGITS, math.ceil(math.log(max(1.0, parents / each), 16))))
 
 
 def references(links: DataFrame, attachments: DataFrame) -> DataFrame:
@@ -120,18 +137,18 @@ def _ordered(entries: np.ndarray) -> np.ndarray:
     return np.char.add(entries["k"], np.array([time[i : i + 16] for i in range(0, len(time), 16)], dtype="S16")) if len(entries) else np.empty(0, "S64")
 
 
-def orphans(refs: DataFrame, parents: DataFrame, range_digits: int = RANGE_DIGITS, part_rows: int = PART_ROWS) -> DataFrame:
+def orphans(refs: DataFrame, parents: DataFrame, digits: int = RANGE_DIGITS, part_rows: int = PART_ROWS) -> DataFrame:
     """ref_table, ref_id and seen_at of the references whose key isn't alive at their time."""
     spark = refs.sparkSession
     # Keys that name nothing go through as misses, spread by their id.
-    first = F.coalesce(F.substring("key", 1, range_digits), F.concat(F.lit("-"), F.pmod(F.xxhash64("ref_id"), F.lit(64)).cast("string")))
+    first = F.coalesce(F.substring("key", 1, digits), F.concat(F.lit("-"), F.pmod(F.xxhash64("ref_id"), F.lit(64)).cast("string")))
     keyed = refs.withColumn("range", first)
-    # At most 16 ** range_digits + 64 rows: their number doesn't depend on the data.
+    # At most 16 ** 5 + 64 rows: their number doesn't depend on the data.
     parts = keyed.groupBy("range").agg(F.greatest(F.ceil(F.count("*") / part_rows), F.lit(1)).cast("int").alias("parts"))
     own = keyed.join(F.broadcast(parts), "range")
     none = lambda kind: F.lit(None).cast(kind)
     salted = own.select(F.concat_ws("/", "range", F.pmod(F.xxhash64("ref_table", "ref_id"), F.col("parts")).cast("string")).alias("part"), F.coalesce("key", F.lit("")).alias("key"), "at", none("int").alias("alive"), "ref_table", F.col("ref_id").cast("long").alias("ref_id"), F.unix_micros("seen_at").alias("seen_us"))
-    spread = parents.withColumn("range", F.substring("key", 1, range_digits)).join(F.broadcast(parts), "range")
+    spread = parents.withColumn("range", F.substring("key", 1, digits)).join(F.broadcast(parts), "range")
     spread = spread.select(F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("s"), "range", "key", "at", "alive")
     spread = spread.select(F.concat_ws("/", "range", F.col("s").cast("string")).alias("part"), "key", "at", "alive", none("string").alias("ref_table"), none("long").alias("ref_id"), none("long").alias("seen_us"))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -146,5 +163,6 @@ def report(found: DataFrame) -> DataFrame:
 
 
 def find(links: DataFrame, attachments: DataFrame, docs: DataFrame, stubs: DataFrame, **options: int) -> DataFrame:
-    """Orphan references of link_notes and doc_attachments."""
+    """Orphan references of link_notes and doc_attachments. The number of ranges follows the number of parents."""
+    options.setdefault("digits", range_digits(docs.count() + stubs.count()))
     return orphans(references(links, attachments), events(docs, stubs), **options)

@@ -46,10 +46,19 @@ def test_brute_force_with_a_hot_key(spark):
         events.setdefault(u, []).append((at, 0))
     want = {("doc_attachments", i) for i, u, _, at, _ in atts if not max(((a, k) for a, k in events.get(u, []) if a <= at), default=(None, 0))[1]}
     assert find(spark, [], atts, docs, stubs) == want
-    assert find(spark, [], atts, docs, stubs, part_rows=10, range_digits=1) == want
+    assert find(spark, [], atts, docs, stubs, part_rows=10, digits=1) == want
+
+
+def test_turns(spark):
+    """Of any number of deliveries only the turns of the state remain."""
+    key, rep = "A" * 32, "AAAAAAAA:BBBBBBBB"
+    docs = [(i, key, rep, t(i)) for i in range(50)] + [(100 + i, "B" * 32, rep, t(i)) for i in range(50)]
+    stubs = [(1, rep, key, t(20)), (2, rep, key, t(20)), (3, rep, key, t(60)), (4, None, key, t(5)), (5, rep, key, None)]
+    got = {tuple(r) for r in R.events(spark.createDataFrame(docs, DOCS), spark.createDataFrame(stubs, STUBS)).select(F.substring("key", 1, 1), ((F.col("at") - 1704067200000000) / 3600000000).cast("int"), "alive").collect()}
+    assert got == {("A", 0, 1), ("A", 60, 0), ("B", 0, 1)}
+    assert [R.range_digits(n) for n in (0, 10**6, 10**9, 10**12)] == [3, 3, 4, 5]
 
 
 def test_report(spark):
     df = spark.createDataFrame([("a", 1, t(0)), ("a", 2, t(1)), ("a", 3, None)], "ref_table string, ref_id long, seen_at timestamp")
     assert {tuple(r) for r in R.report(df).collect()} == {("a", "2024-01", 2), ("a", None, 1)}
-    assert F is not None
