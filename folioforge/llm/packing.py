@@ -204,7 +204,8 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, folder: str = TOKENIZER
 
     spark = documents.sparkSession
     buckets = min(MOST_BUCKETS, max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    cut = checkpoint(pieces(measure(documents, folder, vocabulary), capacity).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int")))
+    cut = checkpoint(pieces(measure(documents, folder, vocabulary), capacity).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(buckets)).cast("int")))
+    # The bucket is written with the row, so rows of one id spread evenly and a repeated task finds the same buckets.
     # MOST_BUCKETS x capacity rows at most.
     counts = cut.groupBy("n_tokens", "bucket").agg(F.count("*").alias("n")).toPandas()
     table = np.zeros((buckets, capacity + 1), np.int64)
