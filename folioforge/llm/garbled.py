@@ -12,7 +12,8 @@ windows of ``WINDOW`` characters.
 Clean words come from the reference corpus (documents, name directory) and from those words of the examined texts
 that consist of characters the reference corpus uses, Latin letters, kana, or kanji of the first JIS level. A garbled form counts
 only if it can be told from clean text: it isn't a word of the reference corpus, and it holds a replacement character,
-or a character of neither kind, or decodes strictly back to the word from UTF-8.
+or a character of neither kind, or decodes strictly back to the word from UTF-8; and it isn't far more frequent than
+the word.
 
 Sizes: the character repertoire is bounded by Unicode. Matched tokens are broadcast while there are at most
 ``BROADCAST_TOKENS`` of them and joined by shuffle otherwise.
@@ -25,9 +26,11 @@ are affected; text that was garbled with loss is found and, where no single orig
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +39,8 @@ WINDOW = 4
 BROADCAST_TOKENS = 200_000
 #: A character is in use if at least so many documents of the reference corpus hold it.
 MIN_DOCUMENTS = 2
+#: A form that is so many times as frequent as its original isn't its garbled form.
+FREQUENT = 4
 
 _SINGLE = ["cp1252", "latin-1", "cp437", "cp850", "mac_roman", "cp1251", "koi8_r", "iso8859_15", "cp1250"]
 _MULTI = ["cp932", "euc_jp", "gbk", "big5"]
@@ -141,29 +146,20 @@ def odd_pattern(used: set[str]) -> re.Pattern:
     return re.compile("[^\\x00-\\x7f" + "".join(map(re.escape, fine)) + "]")
 
 
-def expand(found: set[str]) -> set[str]:
-    """Words with a non-ASCII character, their non-ASCII runs, and neighbouring characters of Japanese."""
+def parts(w: str) -> set[str]:
+    """What a word with a non-ASCII character gives: itself, its non-ASCII runs, neighbouring characters of Japanese."""
     out: set[str] = set()
-    for w in found:
-        if w.isascii():
-            continue
-        if len(w) <= (40 if not _KANA.search(w) else 12):
-            out.add(w)
-        for run in _RUN.findall(w):
-            if len(run) <= 12:
-                out.add(run)
-            if len(run) > 1 and _KANA.search(run):
-                out.update([p for p in map("".join, zip(run, run[1:], strict=False)) if _KANA.match(p)])
-        for piece in _BLANK.split(w):
-            if piece != w and piece and not piece.isascii():
-                out.add(piece)
+    if len(w) <= (40 if not _KANA.search(w) else 12):
+        out.add(w)
+    for run in _RUN.findall(w):
+        if len(run) <= 12:
+            out.add(run)
+        if len(run) > 1 and _KANA.search(run):
+            out.update([p for p in map("".join, zip(run, run[1:], strict=False)) if _KANA.match(p)])
+    out.update([p for p in _BLANK.split(w) if p and not p.isascii()])
     return out
 
 
-def words(text: str) -> set[str]:
-    return expand(set(_WORD.findall(text)))
-
-
 def tokens(text: str, odd_: re.Pattern) -> set[str]:
     """What is looked up in the table: words, runs, and windows that hold an odd character.
 
@@ -207,7 +203,7 @@ def forms(word: str, used: set[str]) -> Iterator[tuple[str, str]]:
     narrow = any("\uff61" <= c <= "\uff9f" for c in word)
     for name, chain in CHAIN_OF.items():
         form = garble(word, chain)
-        if form is not None and narrow and chain[0][0] != "utf-8" and "�" not in form:
+        if form is not None and narrow and len(word) < 3 and chain[0][0] != "utf-8" and "�" not in form:
             continue
         if form is None:
             continue
@@ -245,58 +241,66 @@ def clean_words(corpus: DataFrame, examined: DataFrame, used: set[str]) -> DataF
 
     def own(trusted: bool):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            seen: set[str] = set()
+            fine = lambda w: all(c <= "\x7f" or c in used or common(c) or "\uff61" <= c <= "\uff9f" or (c.isalpha() and c < "\u0250") for c in w)
             for pdf in batches:
-                found: set[str] = set()
-                for text in set(pdf["text"]):
+                found: Counter[str] = Counter()
+                for text in pdf["text"]:
                     found.update(_WORD.findall(text))
-                new = found - seen
-                if len(seen) < 500_000:
-                    seen |= new
-                kept = [w for w in expand(new) if all(c <= "\x7f" or c in used or common(c) or "\uff61" <= c <= "\uff9f" or (c.isalpha() and c < "\u0250") for c in w)]
-                yield pd.DataFrame({"word": pd.Series(kept, dtype=object), "trusted": trusted})
+                count: Counter[str] = Counter()
+                for w, n in found.items():
+                    if not w.isascii():
+                        for p in parts(w):
+                            count[p] += n
+                kept = [w for w in count if fine(w)]
+                yield pd.DataFrame({"word": pd.Series(kept, dtype=object), "trusted": trusted, "n": np.array([count[w] for w in kept], np.int64)})
 
         return run
 
-    both = _texts(corpus).select("text").mapInPandas(own(True), "word string, trusted boolean").union(examined.select("text").mapInPandas(own(False), "word string, trusted boolean"))
-    return both.groupBy("word").agg(F.max("trusted").alias("trusted"))
+    kind = "word string, trusted boolean, n long"
+    both = _texts(corpus).select("text").mapInPandas(own(True), kind).union(examined.select("text").mapInPandas(own(False), kind))
+    return both.groupBy("word").agg(F.max("trusted").alias("trusted"), F.sum("n").alias("n"))
 
 
 def garbled_forms(clean: DataFrame, used: set[str]) -> DataFrame:
-    """token, original, chain: every garbled form of every clean word."""
+    """token, original, chain, n (of the original): every garbled form of every clean word."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = [(form, word, chain) for word in pdf["word"] for form, chain in forms(word, used)]
-            yield pd.DataFrame(out, columns=["token", "original", "chain"])
+            out = [(form, word, chain, n) for word, n in zip(pdf["word"], pdf["n"], strict=True) for form, chain in forms(word, used)]
+            yield pd.DataFrame(out, columns=["token", "original", "chain", "n"])
 
     width = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return clean.select("word").repartition(width, "word").mapInPandas(run, "token string, original string, chain string")
+    return clean.select("word", "n").repartition(width, "word").mapInPandas(run, "token string, original string, chain string, n long")
+
 
+def counted_tokens(examined: DataFrame, used: set[str]) -> DataFrame:
+    """token, times (in how many texts)."""
 
-def distinct_tokens(examined: DataFrame, used: set[str]) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         odd_ = odd_pattern(used)
         for pdf in batches:
-            found: set[str] = set()
-            for text in set(pdf["text"]):
-                found |= tokens(text, odd_)
-            yield pd.DataFrame({"token": pd.Series(list(found), dtype=object)})
+            found: Counter[str] = Counter()
+            for text, n in Counter(pdf["text"]).items():
+                for token in tokens(text, odd_):
+                    found[token] += n
+            yield pd.DataFrame({"token": pd.Series(list(found), dtype=object), "times": np.array(list(found.values()), np.int64)})
 
-    return examined.select("text").mapInPandas(run, "token string").distinct()
+    return examined.select("text").mapInPandas(run, "token string, times long").groupBy("token").agg(F.sum("times").alias("times"))
 
 
 def matched_tokens(examined: DataFrame, clean: DataFrame, used: set[str]) -> DataFrame:
     """token, original, chain, originals (how many): hash join of the distinct tokens of the texts with the garbled forms.
 
-    The tokens are the smaller side; they are broadcast if a count shows that there are few.
+    The tokens are the smaller side; they are broadcast if a count shows that there are few. A form without loss that
+    is far more frequent than its original is the clean one of the two: some encodings garble either way.
     """
     from folioforge.session import checkpoint
 
-    own = checkpoint(distinct_tokens(examined, used))
+    own = checkpoint(counted_tokens(examined, used))
     clean = checkpoint(clean)
     few = own.limit(BROADCAST_TOKENS + 1).count() <= BROADCAST_TOKENS
     hit = garbled_forms(clean, used).join(F.broadcast(own) if few else own, "token")
+    hit = hit.where(F.col("token").contains("�") | (F.col("times") <= F.col("n") * FREQUENT))
     table = hit.groupBy("token").agg(F.min(F.struct("chain", "original")).alias("m"), F.approx_count_distinct("original").alias("originals"))
     trusted = clean.where("trusted").select(F.col("word").alias("token"))
     return table.join(trusted, "token", "left_anti").select("token", "m.original", "m.chain", "originals")

@@ -77,3 +77,15 @@ def test_long_tokens_are_bounded():
     assert max(map(len, G.tokens("ü" * 10_000 + "\x81", G.odd_pattern({"ü"})))) <= 120
     with pytest.raises(UnicodeError):
         G.encode("語", "cp1252")
+
+
+def test_the_frequent_form_is_the_clean_one(spark):
+    """Half-width kana read as another Japanese encoding give kanji; kanji give half-width kana the same way back."""
+    name = "ｶﾀﾛｸﾞ"
+    bad = G.garble(name, G.CHAIN_OF["euc_jp>cp932"])
+    assert G.garble(bad, G.CHAIN_OF["cp932>euc_jp"]) == name
+    fields = [(i, None, None, None) for i in range(2)]
+    atts = [(i, f"{name}.zip", None) for i in range(60)] + [(100, f"{bad}.zip", None), (101, G.garble(name, G.CHAIN_OF["cp932>cp1252"]) + ".zip", None), (102, G.garble(name, G.CHAIN_OF["utf-8>cp1252"]) + ".zip", None)]
+    _, _, ex, corpus = run(spark, fields, atts)
+    got = {r["row_id"] for r in G.affected(ex, corpus).collect()}
+    assert got & set(range(60)) == set() and {101, 102} <= got
