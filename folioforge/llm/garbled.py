@@ -156,7 +156,7 @@ def parts(w: str) -> set[str]:
             out.add(run)
         if len(run) > 1 and _KANA.search(run):
             out.update([p for p in map("".join, zip(run, run[1:], strict=False)) if _KANA.match(p)])
-    out.update([p for p in _BLANK.split(w) if p and not p.isascii()])
+    out.update([p for p in _BLANK.split(w) if p and p != w and len(p) <= 40 and not p.isascii()])
     return out
 
 
