@@ -12,8 +12,9 @@ windows of ``WINDOW`` characters.
 Clean words come from the reference corpus (documents, name directory) and from those words of the examined texts
 that consist of characters the reference corpus uses, Latin letters, kana, or kanji of the first JIS level. A garbled form counts
 only if it can be told from clean text: it isn't a word of the reference corpus, and it holds a replacement character,
-or a character of neither kind, or decodes strictly back to the word from UTF-8; and it isn't far more frequent than
-the word.
+or a character of neither kind, or decodes strictly back to the word from UTF-8. Where a form may itself be a clean
+word and the encodings garble either way, that of the two is clean which far more distinct texts hold; copies of a text
+don't count, but for a tie.
 
 Sizes: the character repertoire is bounded by Unicode. Matched tokens are broadcast while there are at most
 ``BROADCAST_TOKENS`` of them and joined by shuffle otherwise.
@@ -39,7 +40,7 @@ WINDOW = 4
 BROADCAST_TOKENS = 200_000
 #: A character is in use if at least so many documents of the reference corpus hold it.
 MIN_DOCUMENTS = 2
-#: A form that is so many times as frequent as its original isn't its garbled form.
+#: Of a form and its original that may each be the clean one, that in so many times as many distinct texts is.
 FREQUENT = 4
 
 _SINGLE = ["cp1252", "latin-1", "cp437", "cp850", "mac_roman", "cp1251", "koi8_r", "iso8859_15", "cp1250"]
@@ -197,6 +198,20 @@ def distinctive(form: str, word: str, used: set[str], chain: tuple[tuple[str, st
     return (lossy or strange) and (lossy or len(form) > 2 or any(c.isascii() and c.isalpha() for c in form))
 
 
+def fine(w: str, used: set[str]) -> bool:
+    """Whether a word passes as clean: characters in use, common ones, half-width kana, Latin letters."""
+    return all(c <= "\x7f" or c in used or common(c) or "\uff61" <= c <= "\uff9f" or (c.isalpha() and c < "\u0250") for c in w)
+
+
+#: Chains of encodings that garble either way. From UTF-8, a form decodes strictly back and can be told.
+EITHER_WAY = {name_of(c) for c in CHAINS if c[0][0] != "utf-8" and tuple((b, a) for a, b in reversed(c)) in CHAINS}
+
+
+def contested(form: str, chain: str, used: set[str]) -> bool:
+    """Whether a garbled form may as well be the clean word, and its original the garbled one."""
+    return chain in EITHER_WAY and "�" not in form and fine(form, used)
+
+
 def forms(word: str, used: set[str]) -> Iterator[tuple[str, str]]:
     """(garbled form, chain) of a clean word."""
     japanese = len(word) == 2 and _KANA.match(word) is not None
@@ -241,7 +256,6 @@ def clean_words(corpus: DataFrame, examined: DataFrame, used: set[str]) -> DataF
 
     def own(trusted: bool):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            fine = lambda w: all(c <= "\x7f" or c in used or common(c) or "\uff61" <= c <= "\uff9f" or (c.isalpha() and c < "\u0250") for c in w)
             for pdf in batches:
                 found: Counter[str] = Counter()
                 for text in pdf["text"]:
@@ -251,7 +265,7 @@ def clean_words(corpus: DataFrame, examined: DataFrame, used: set[str]) -> DataF
                     if not w.isascii():
                         for p in parts(w):
                             count[p] += n
-                kept = [w for w in count if fine(w)]
+                kept = [w for w in count if fine(w, used)]
                 yield pd.DataFrame({"word": pd.Series(kept, dtype=object), "trusted": trusted, "n": np.array([count[w] for w in kept], np.int64)})
 
         return run
@@ -262,15 +276,15 @@ def clean_words(corpus: DataFrame, examined: DataFrame, used: set[str]) -> DataF
 
 
 def garbled_forms(clean: DataFrame, used: set[str]) -> DataFrame:
-    """token, original, chain, n (of the original): every garbled form of every clean word."""
+    """token, original, chain, n (of the original), contested: every garbled form of every clean word."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = [(form, word, chain, n) for word, n in zip(pdf["word"], pdf["n"], strict=True) for form, chain in forms(word, used)]
-            yield pd.DataFrame(out, columns=["token", "original", "chain", "n"])
+            out = [(form, word, chain, n, contested(form, chain, used)) for word, n in zip(pdf["word"], pdf["n"], strict=True) for form, chain in forms(word, used)]
+            yield pd.DataFrame(out, columns=["token", "original", "chain", "n", "contested"])
 
     width = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return clean.select("word", "n").repartition(width, "word").mapInPandas(run, "token string, original string, chain string, n long")
+    return clean.select("word", "n").repartition(width, "word").mapInPandas(run, "token string, original string, chain string, n long, contested boolean")
 
 
 def counted_tokens(examined: DataFrame, used: set[str]) -> DataFrame:
@@ -288,11 +302,48 @@ def counted_tokens(examined: DataFrame, used: set[str]) -> DataFrame:
     return examined.select("text").mapInPandas(run, "token string, times long").groupBy("token").agg(F.sum("times").alias("times"))
 
 
-def matched_tokens(examined: DataFrame, clean: DataFrame, used: set[str]) -> DataFrame:
+def distinct_texts(every: DataFrame, names: DataFrame, used: set[str]) -> DataFrame:
+    """name, texts: how many distinct texts hold each of the names (tokens or clean words), exact up to its ``most``.
+
+    A task reports at most so many texts of a name, and seeks a name no longer that it has reported so often.
+    """
+    head = names.limit(BROADCAST_TOKENS + 1).collect()
+    few = len(head) <= BROADCAST_TOKENS
+    shared = every.sparkSession.sparkContext.broadcast({r["name"]: r["most"] for r in head} if few else None)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, odd_ = dict(shared.value) if few else {}, odd_pattern(used)
+        held: dict[str, set[int]] = {name: set() for name in known}
+        begins, width = None, -1
+        for pdf in batches:
+            out = []
+            for text, h in dict(zip(pdf["text"], pdf["h"], strict=True)).items():
+                if few:
+                    if len(known) != width:
+                        begins, width = re.compile("[" + "".join(map(re.escape, sorted({k[0] for k in known}))) + "]") if known else None, len(known)
+                    if begins is None:
+                        break
+                    if not begins.search(text):
+                        continue
+                own = tokens(text, odd_).union(*(parts(w) for w in set(_WORD.findall(text)) if not w.isascii()))
+                for name in known.keys() & own if few else own:
+                    out.append((name, h))
+                    if few:
+                        held[name].add(h)
+                        if len(held[name]) >= known[name]:
+                            del known[name], held[name]
+            yield pd.DataFrame(out, columns=["name", "h"])
+
+    each = every.select("text", F.xxhash64("text").alias("h")).mapInPandas(run, "name string, h long")
+    each = each if few else each.join(names, "name", "left_semi")
+    return each.groupBy("name").agg(F.countDistinct("h").alias("texts"))
+
+
+def matched_tokens(examined: DataFrame, corpus: DataFrame, clean: DataFrame, used: set[str]) -> DataFrame:
     """token, original, chain, originals (how many): hash join of the distinct tokens of the texts with the garbled forms.
 
-    The tokens are the smaller side; they are broadcast if a count shows that there are few. A form without loss that
-    is far more frequent than its original is the clean one of the two: some encodings garble either way.
+    The tokens are the smaller side; they are broadcast if a count shows that there are few. Of a contested form and
+    its original, the one in far more distinct texts is clean; where as many hold either, the one in far more rows.
     """
     from folioforge.session import checkpoint
 
@@ -300,7 +351,17 @@ def matched_tokens(examined: DataFrame, clean: DataFrame, used: set[str]) -> Dat
     clean = checkpoint(clean)
     few = own.limit(BROADCAST_TOKENS + 1).count() <= BROADCAST_TOKENS
     hit = garbled_forms(clean, used).join(F.broadcast(own) if few else own, "token")
-    hit = hit.where(F.col("token").contains("�") | (F.col("times") <= F.col("n") * FREQUENT))
+    hit = checkpoint(hit.select("token", "original", "chain", "contested", "times", (F.col("times") > F.col("n") * FREQUENT).alias("rows")))
+    pairs = hit.where("contested")
+    if not pairs.isEmpty():
+        # A token is in at most ``times`` distinct texts; whether its original is in more needn't be counted further.
+        names = pairs.select(F.explode(F.array("token", "original")).alias("name"), (F.col("times") + 1).alias("most"))
+        names = checkpoint(names.groupBy("name").agg(F.max("most").alias("most")))
+        number = checkpoint(distinct_texts(examined.select("text").union(_texts(corpus).select("text")), names, used))
+        as_ = lambda name, n: number.select(F.col("name").alias(name), F.col("texts").alias(n))
+        pairs = pairs.join(as_("token", "a"), "token").join(as_("original", "b"), "original")
+        pairs = pairs.where(~((F.col("a") > F.col("b") * FREQUENT) | ((F.col("a") == F.col("b")) & F.col("rows")))).select(hit.columns)
+        hit = hit.where("not contested").union(pairs)
     table = hit.groupBy("token").agg(F.min(F.struct("chain", "original")).alias("m"), F.approx_count_distinct("original").alias("originals"))
     trusted = clean.where("trusted").select(F.col("word").alias("token"))
     return table.join(trusted, "token", "left_anti").select("token", "m.original", "m.chain", "originals")
@@ -310,7 +371,7 @@ def affected(examined: DataFrame, corpus: DataFrame) -> DataFrame:
     """src_table, row_id, slot, text, hits (token, original, chain, originals) of the affected texts."""
     spark = examined.sparkSession
     used = repertoire(corpus)
-    matched = matched_tokens(examined, clean_words(corpus, examined, used), used)
+    matched = matched_tokens(examined, corpus, clean_words(corpus, examined, used), used)
     head = matched.limit(BROADCAST_TOKENS + 1).collect()
     out = "src_table string, row_id long, slot string, text string, hits array<struct<token:string,original:string,chain:string,originals:long>>"
     if len(head) <= BROADCAST_TOKENS:

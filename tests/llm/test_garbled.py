@@ -89,3 +89,18 @@ def test_the_frequent_form_is_the_clean_one(spark):
     _, _, ex, corpus = run(spark, fields, atts)
     got = {r["row_id"] for r in G.affected(ex, corpus).collect()}
     assert got & set(range(60)) == set() and {101, 102} <= got
+
+
+def test_copies_of_a_garbled_text_stay(spark, monkeypatch):
+    """However many copies there are; a form is only taken for the clean one if it may be, and by distinct texts."""
+    single, utf8 = G.garble("Störung", G.CHAIN_OF["cp1252>cp850"]), G.garble("déc", G.CHAIN_OF["utf-8>cp1252"])
+    fields = [(i, f"{single}: Anlage fehlt", None, None) for i in range(100)] + [(i, utf8, None, None) for i in range(100, 200)] + [(200, "déc", None, None)]
+    word = "添付"
+    kana = G.garble(word, G.CHAIN_OF["euc_jp>cp932"])
+    atts = [(i, f"{kana}.zip", None) for i in range(200)] + [(i, f"{word} {i}.zip", None) for i in range(300, 310)] + [(i, f"ｶﾀﾛｸﾞ {i}.zip", None) for i in range(400, 410)]
+    assert G.contested(kana, "euc_jp>cp932", set())
+    _, _, ex, corpus = run(spark, fields, atts)
+    got = {(r["src_table"], r["row_id"]) for r in G.affected(ex, corpus).collect()}
+    assert got == {("doc_fields", i) for i in range(200)} | {("doc_attachments", i) for i in range(200)}
+    monkeypatch.setattr(G, "BROADCAST_TOKENS", 0)
+    assert {(r["src_table"], r["row_id"]) for r in G.affected(ex, corpus).collect()} == got
