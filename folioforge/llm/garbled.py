@@ -59,6 +59,8 @@ _HOLES = {"cp1252": (0x81, 0x8D, 0x8F, 0x90, 0x9D), "cp1251": (0x98,), "cp1250":
 _WORD = re.compile(r"(?:[A-Za-z]|[^\x00-\x7f])+")
 _RUN = re.compile(r"[^\x00-\x7f]+")
 _PAIR = re.compile(r"[^\x00-\x7f\u3000-\u9fff\uff00-\uffef]{2,}")
+#: What a lead and a continuation byte of UTF-8 may give in a multibyte decoding: wide characters, Cyrillic in big5.
+_WIDE = re.compile("[\u3000-\uffff" + "".join(sorted({c for d in _MULTI for a in range(0xC2, 0xF5) for b in range(0x80, 0xC0) for c in bytes([a, b]).decode(d, "replace") if "\x7f" < c < "\u3000"})) + "]")
 _BLANK = re.compile("[\u2000-\u200b\u2010-\u2027\u00a0\u202f]")
 _NARROW = re.compile(r"[^\u3000-\u9fff\uff00-\uffef]+")
 _KANA = re.compile(r"[぀-ヿ㐀-鿿々ｦ-ﾟ！-～、。「」]")
@@ -161,16 +163,29 @@ def parts(w: str) -> set[str]:
     return out
 
 
+def from_utf8(token: str) -> bool:
+    """Whether a multibyte encoding gives bytes that are valid UTF-8."""
+    for name in _MULTI:
+        try:
+            token.encode(name).decode("utf-8")
+        except UnicodeError:
+            continue
+        return True
+    return False
+
+
 def tokens(text: str, odd_: re.Pattern) -> set[str]:
     """What is looked up in the table: words, runs, and windows that hold an odd character.
 
-    Every form of the table holds an odd character or a pair of narrow ones (a lead and a continuation byte), so a
-    text without either has no token that could match.
+    Every form of the table holds an odd character, a pair of narrow ones (a lead and a continuation byte), or, out of
+    a multibyte decoding, a wide one and then decodes strictly back from UTF-8. So a text with none of these has no
+    token that could match, and a text without the first two only tokens that decode so.
     """
     if text.isascii():
         return set()
     at = [m.start() for m in odd_.finditer(text)]
-    if not at and not _PAIR.search(text):
+    plain = not at and not _PAIR.search(text)
+    if plain and not _WIDE.search(text):
         return set()
     out: set[str] = set()
     for w in _WORD.findall(text):
@@ -178,6 +193,8 @@ def tokens(text: str, odd_: re.Pattern) -> set[str]:
             if len(w) <= 120:
                 out.add(w)
             out.update([r for r in _RUN.findall(w) if len(r) <= 36])
+    if plain:
+        return {t for t in out if from_utf8(t)}
     last = len(text) - WINDOW
     out.update([text[i : i + WINDOW] for i in {k for j in at for k in range(max(0, j - WINDOW + 1), min(j, last) + 1)}])
     return out

@@ -104,3 +104,27 @@ def test_copies_of_a_garbled_text_stay(spark, monkeypatch):
     assert got == {("doc_fields", i) for i in range(200)} | {("doc_attachments", i) for i in range(200)}
     monkeypatch.setattr(G, "BROADCAST_TOKENS", 0)
     assert {(r["src_table"], r["row_id"]) for r in G.affected(ex, corpus).collect()} == got
+
+
+def test_single_letters_in_multibyte_decodings(spark):
+    """Kanji of the first level or half-width kana amid ASCII letters are the only sign."""
+    bad = [(w, d, G.garble(w, G.CHAIN_OF[f"utf-8>{d}"])) for d in ("gbk", "euc_jp", "big5", "cp932") for w in ("Müller", "café", "Störung", "für", "não")]
+    assert {"M眉ller", "caf茅", "M端ller", "St旦rung", "fﾃｼr"} <= {b for _, _, b in bad}
+    clean = spark.createDataFrame([(f"Müller café Störung für não {c}",) for c in ("ﾃ ｼ ｶ", "ﾃｼ ﾃ", "ｼ")], "text string")
+    fields = [(i, b, None, None) for i, (_, _, b) in enumerate(bad)] + [(100, "Müller: Störung", None, None), (101, "出張承認の申請", None, None), (102, "ﾃｼﾌﾞﾙ", None, None)]
+    _, _, ex, corpus = run(spark, fields)
+    got = {r["row_id"]: (r["mended"], r["restored"]) for r in G.restore(ex, corpus.union(clean)).collect()}
+    assert set(got) == set(range(len(bad)))
+    by = {b: got[i] for i, (_, _, b) in enumerate(bad)}
+    assert by["M眉ller"] == by["M端ller"] == ("Müller", True) and by["caf茅"] == ("café", True) and by["fﾃｼr"] == ("für", True)
+
+
+def test_multibyte_decodings_of_utf8_show():
+    """A lead and a continuation byte give a wide character or a replacement: what tokens() relies on."""
+    for name in G._MULTI:
+        for lead in range(0xC2, 0xF5):
+            for follow in range(0x80, 0xC0):
+                text = bytes([lead, follow]).decode(name, "replace")
+                assert "�" in text or G._WIDE.search(text), (name, lead, follow)
+    bad = G.garble("Ǳx", G.CHAIN_OF["utf-8>big5"])
+    assert bad == "Дx" and bad in G.tokens(f"a {bad}", G.odd_pattern({*bad}))
