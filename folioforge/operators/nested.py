@@ -8,9 +8,10 @@ Only the walk of a single payload is Python (Spark's types can't recurse); it is
 batches. Labels, parents and tables are JVM expressions.
 
 Defined results: a null, empty or incomplete payload, or one that is no object, gives no node; null entries keep their
-position and give none; a lone object stands for a list of one; a list given as JSON text is that list; of two equal
-keys of one object the last counts; records are told apart by ``record_id``, so a repeated record gives its rows once
-per id.
+position and give none; a lone object stands for a list of one; a list given as JSON text is that list; lists inside
+lists, and lists that a field consists of, are walked and give no nodes of their own; any number of envelopes is opened;
+of two equal keys of one object the last counts; records are told apart by ``record_id``, so a repeated record gives its
+rows once per id.
 """
 
 from __future__ import annotations
@@ -35,16 +36,14 @@ def load(payload: str | None) -> dict | None:
         doc = json.loads(payload.lstrip("﻿"))
     except (ValueError, RecursionError):
         return None
-    for _ in range(8):
-        if not isinstance(doc, dict):
-            return None
+    while isinstance(doc, dict):
         if any(k in doc for k in ROOT_KEYS):
             return doc
         inner = [x for x in map(_opened, doc.values()) if isinstance(x, dict) and (any(k in x for k in ROOT_KEYS) or len(x) == 1)]
         if not inner:
             return doc
         doc = inner[0]
-    return doc
+    return None
 
 
 def _opened(value):
@@ -71,12 +70,16 @@ def _scalars(value) -> str | None:
 
 
 def nodes(doc: dict) -> Iterator[tuple[list[str], list[int], str | None]]:
-    """(slots, ordinals, content) of every node, parents first. Iterative: depth is bounded by memory only."""
+    """(slots, ordinals, content) of every node, parents first. Iterative: depth is bounded by memory only.
+
+    A slot begins with what joins it to its parent, a dot or the position in a list. An entry of ``stack`` with a gap
+    (the way from the node above) is no node of its own.
+    """
     stack = []
     fields = _opened(doc.get("fields"))
     for k, (name, value) in enumerate(fields.items() if isinstance(fields, dict) else ()):
         if value is not None:
-            stack.append(([f"fields.{name}"], [k], _opened(value) if isinstance(value, str) else value, ""))
+            stack.append(([f"fields.{name}"], [k], _opened(value) if isinstance(value, str) else value, None))
     for k, value in enumerate(_entries(doc.get("attachments"))):
         if isinstance(value, dict):
             yield [f"attachments[{k}]"], [k], _scalars(value)
@@ -88,16 +91,21 @@ def nodes(doc: dict) -> Iterator[tuple[list[str], list[int], str | None]]:
     stack.reverse()
     while stack:
         slots, ordinals, value, gap = stack.pop()
-        if not gap:
+        if gap is None:
             yield slots, ordinals, _scalars(value)
+            gap = ""
         below = []
+        if isinstance(value, list):
+            below = [(slots, ordinals, x, f"{gap}[{k}]") for k, x in enumerate(value) if isinstance(x, dict | list)]
         for key, child in value.items() if isinstance(value, dict) else ():
             if key in LISTS:
-                below += [([*slots, f"{gap}{key}[{k}]"], [*ordinals, k], x, "") for k, x in enumerate(_entries(child)) if isinstance(x, dict)]
-            elif isinstance(child, dict):
-                below.append((slots, ordinals, child, f"{gap}{key}."))
-            elif isinstance(child, list):
-                below += [(slots, ordinals, x, f"{gap}{key}[{k}].") for k, x in enumerate(child) if isinstance(x, dict)]
+                for k, x in enumerate(_entries(child)):
+                    if isinstance(x, dict):
+                        below.append(([*slots, f"{gap}.{key}[{k}]"], [*ordinals, k], x, None))
+                    elif isinstance(x, list):
+                        below.append((slots, ordinals, x, f"{gap}.{key}[{k}]"))
+            elif isinstance(child, dict | list):
+                below.append((slots, ordinals, child, f"{gap}.{key}"))
         stack += reversed(below)
 
 
@@ -110,14 +118,14 @@ def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for record, payload in zip(pdf["record_id"], pdf["payload"], strict=True):
             doc = load(payload)
             for slots, ordinals, content in nodes(doc) if doc else ():
-                table = ".".join(at.sub("", s) for s in (["fields", *slots[1:]] if slots[0].startswith("fields.") else slots))
+                table = "".join(at.sub("", s) for s in (["fields", *slots[1:]] if slots[0].startswith("fields.") else slots))
                 out.append((record, slots, ordinals, table, content))
         for k in range(0, max(1, len(out)), 20_000):
             yield pd.DataFrame(out[k : k + 20_000], columns=["record_id", "slots", "ordinals", "table", "content"])
 
 
 def _path(slots: Column) -> Column:
-    return F.array_join(slots, ".")
+    return F.array_join(slots, "")
 
 
 def flatten(records: DataFrame) -> DataFrame:

@@ -52,3 +52,18 @@ def test_parents_exist_and_tables(spark):
     kinds = {r["kind"]: r["colspan"] for r in nested.tables(nested.flatten(df)).collect()}
     assert kinds == {"fields": None, "runs": None, "rows": None, "cells": 2}
     assert nested.found(df.limit(0)).count() == 0
+
+
+def test_lists_at_every_level_and_many_envelopes(spark):
+    cell = {"cells": [{"runs": []}]}
+    d = doc(fields={"Body": [{"runs": [{"t": "par"}]}, None, [{"rows": cell}]], "Text": json.dumps([{"runs": {"t": "br"}}]), "Odd": {"runs": [[{"runs": [{}]}], {"x": [[{"rows": [{}]}]]}]}})
+    text = json.dumps(d)
+    wrapped = d
+    for _ in range(30):
+        wrapped = {"doc": wrapped}
+    want = {
+        ("fields.Body", "$"), ("fields.Body[0].runs[0]", "fields.Body"), ("fields.Body[2][0].rows[0]", "fields.Body"), ("fields.Body[2][0].rows[0].cells[0]", "fields.Body[2][0].rows[0]"),
+        ("fields.Text", "$"), ("fields.Text[0].runs[0]", "fields.Text"), ("fields.Odd", "$"), ("fields.Odd.runs[0][0].runs[0]", "fields.Odd"),
+        ("fields.Odd.runs[1]", "fields.Odd"), ("fields.Odd.runs[1].x[0][0].rows[0]", "fields.Odd.runs[1]"),
+    }
+    assert rows(spark, text, json.dumps(wrapped)) == {(i, *p) for i in (1, 2) for p in want}
