@@ -7,7 +7,7 @@ original of the table where there is only one.
 
 Words are cut at ASCII characters other than letters. Besides whole words, their runs of non-ASCII characters count
 as words, and since Japanese has no spaces, pairs of neighbouring characters do; their garbled forms are compared by
-windows of ``WINDOW`` characters.
+windows of ``WINDOW`` characters. Longer words without kana or kanji are compared by overlapping pieces.
 
 Clean words come from the reference corpus (documents, name directory) and from those words of the examined texts
 that consist of characters the reference corpus uses, Latin letters, kana, or kanji of the first JIS level. A garbled form counts
@@ -27,6 +27,7 @@ are affected; text that was garbled with loss is found and, where no single orig
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -37,6 +38,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 4
+#: Pieces of long words begin at every character; their forms are compared by so many characters. Decoding may halve
+#: the number of characters, so a piece has up to twice as many.
+PIECE = 12
 BROADCAST_TOKENS = 200_000
 #: A character is in use if at least so many documents of the reference corpus hold it.
 MIN_DOCUMENTS = 2
@@ -150,10 +154,15 @@ def odd_pattern(used: set[str]) -> re.Pattern:
 
 
 def parts(w: str) -> set[str]:
-    """What a word with a non-ASCII character gives: itself, its non-ASCII runs, neighbouring characters of Japanese."""
+    """What a word with a non-ASCII character gives: itself, its non-ASCII runs, neighbouring characters of Japanese.
+
+    A long word without Japanese gives its pieces with a non-ASCII character instead of itself.
+    """
     out: set[str] = set()
     if len(w) <= (40 if not _KANA.search(w) else 12):
         out.add(w)
+    elif not _KANA.search(w):
+        out.update([w[i : i + 2 * PIECE] for i in range(len(w) - PIECE + 1) if not w[i : i + PIECE].isascii()])
     for run in _RUN.findall(w):
         if len(run) <= 12:
             out.add(run)
@@ -196,6 +205,10 @@ def tokens(text: str, odd_: re.Pattern) -> set[str]:
     if plain:
         return {t for t in out if from_utf8(t)}
     last = len(text) - WINDOW
+    for m in _WORD.finditer(text) if at else ():
+        if m.end() - m.start() > 20:  # half the length of what goes by pieces
+            inside = at[bisect_left(at, m.start()) : bisect_left(at, m.end())]
+            out.update([text[i : i + PIECE] for i in {k for j in inside for k in range(max(m.start(), j - PIECE + 1), min(j, m.end() - PIECE) + 1)}])
     out.update([text[i : i + WINDOW] for i in {k for j in at for k in range(max(0, j - WINDOW + 1), min(j, last) + 1)}])
     return out
 
@@ -246,8 +259,11 @@ def forms(word: str, used: set[str]) -> Iterator[tuple[str, str]]:
             if len(form) < WINDOW or sum(c > "\x7f" for c in form) < 2 or not ("�" in form or odd(form, used)):
                 continue
             yield form, name
-        elif distinctive(form, word, used, chain):
+            continue
+        if distinctive(form, word, used, chain):
             yield form, name
+        if PIECE <= len(word) <= 2 * PIECE and len(form) > PIECE and ("�" in form[:PIECE] or odd(form[:PIECE], used)) and distinctive(form[:PIECE], word[:PIECE], used, chain):
+            yield form[:PIECE], name
 
 
 def _texts(df: DataFrame) -> DataFrame:
@@ -319,6 +335,15 @@ def counted_tokens(examined: DataFrame, used: set[str]) -> DataFrame:
     return examined.select("text").mapInPandas(run, "token string, times long").groupBy("token").agg(F.sum("times").alias("times"))
 
 
+def beginning(names: Iterable[str]) -> re.Pattern | None:
+    """What every text that holds one of the names matches: first and second character of one of them."""
+    second: dict[str, set[str]] = {}
+    for name in names:
+        second.setdefault(name[0], set()).add(name[1:2])
+    both = [re.escape(a) + ("" if "" in bs else "[" + "".join(map(re.escape, sorted(bs))) + "]") for a, bs in sorted(second.items())]
+    return re.compile("|".join(both)) if both else None
+
+
 def distinct_texts(every: DataFrame, names: DataFrame, used: set[str]) -> DataFrame:
     """name, texts: how many distinct texts hold each of the names (tokens or clean words), exact up to its ``most``.
 
@@ -337,7 +362,7 @@ def distinct_texts(every: DataFrame, names: DataFrame, used: set[str]) -> DataFr
             for text, h in dict(zip(pdf["text"], pdf["h"], strict=True)).items():
                 if few:
                     if len(known) != width:
-                        begins, width = re.compile("[" + "".join(map(re.escape, sorted({k[0] for k in known}))) + "]") if known else None, len(known)
+                        begins, width = beginning(known), len(known)
                     if begins is None:
                         break
                     if not begins.search(text):

@@ -128,3 +128,17 @@ def test_multibyte_decodings_of_utf8_show():
                 assert "�" in text or G._WIDE.search(text), (name, lead, follow)
     bad = G.garble("Ǳx", G.CHAIN_OF["utf-8>big5"])
     assert bad == "Дx" and bad in G.tokens(f"a {bad}", G.odd_pattern({*bad}))
+
+
+def test_long_words_by_pieces(spark):
+    word = "Überschriftengrößenänderungsverfahrensordnungsprüfungsausschüsse"
+    joined = "Die\u00a0Überschriften\u00a0müssen\u00a0größer\u00a0und\u00a0kürzer\u00a0werden"
+    chains = ["cp1252>cp850", "cp1252>mac_roman", "cp1252>cp437", "mac_roman>cp1252", "utf-8>cp437", "cp1252>utf-8", "cp1252>cp932"]
+    bad = [(t, G.garble(t, G.CHAIN_OF[c])) for t in (word, joined) for c in chains]
+    bad += [(word, "x" + G.garble(word, G.CHAIN_OF["cp1252>cp850"])), (word * 3, G.garble(word * 3, G.CHAIN_OF["cp1252>mac_roman"]))]
+    fields = [(i, b, None, None) for i, (_, b) in enumerate(bad)] + [(100, word, None, None), (101, joined, None, None), (102, "x" * 60 + "é", None, None)]
+    _, _, ex, corpus = run(spark, fields)
+    own = spark.createDataFrame([(f"{word} {joined}",)] * 2, "text string")
+    got = {r["row_id"]: r for r in G.restore(ex, corpus.union(own)).collect()}
+    assert set(got) == set(range(len(bad)))
+    assert all(got[i]["mended"] == bad[i][0] for i in (0, 1))
