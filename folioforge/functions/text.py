@@ -296,7 +296,7 @@ def legacy_path(db: Column, form: Column, cats: Column, day: Column, name: Colum
     parts = F.split(F.when(name != "", name).otherwise("NoTitle"), r"[\\/]+")
     folders = F.transform(F.slice(cats, 1, 2), safe_name)
     doc = F.concat(F.lit("Doc_"), day, F.lit("_"), safe_name(F.element_at(parts, 1)))
-    tails = F.transform(F.filter(F.slice(parts, 2, 1000), lambda x: x != ""), safe_name)
+    tails = F.transform(F.filter(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: x != ""), safe_name)
     head = F.array(safe_name(db), safe_name(F.when(form != "", form).otherwise("NoForm")))
     return F.array_join(F.concat(head, folders, F.array(doc), tails), "/")
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -48,17 +51,48 @@ def display_names(atts: DataFrame) -> DataFrame:
     return atts.where(F.col("name").isNotNull() & F.col("saved_name").isNotNull()).groupBy("unid", "name").agg(F.max_by("saved_name", "att_id").alias("display_name"))
 
 
+def unique_names(named: DataFrame, group: str, order: str, name: str = "pretty") -> DataFrame:
+    """(group, order, name) with ``file_name``: a name that the group already has gets the first free of ``_2``, ``_3``, ...
+
+    Given and generated names count alike, in the given order. A generated name only meets names that are equal but for
+    trailing numbers, so these are a part of their own: parts are spread over all tasks, and a task reads a part in
+    order and holds its names, not its rows. Rows without a group or order form a group of their own, in any order.
+    """
+    width = int(named.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.concat_ws("/", F.regexp_replace(stem(F.col(name)), r"(_\d+)+$", ""), suffix(F.col(name)))
+    own = named.select(group, order, name, stem(F.col(name)).alias("_s"), suffix(F.col(name)).alias("_e"), part.alias("_p"))
+    own = own.repartition(width, group, "_p").sortWithinPartitions(group, "_p", order, name)
+    kinds = {f.name: f.dataType.simpleString() for f in own.schema}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, taken, last = None, set(), {}
+        for pdf in batches:
+            out = []
+            for g, p, own_name, s, e in zip(pdf[group].astype(object).where(pdf[group].notna(), None), pdf["_p"], pdf[name], pdf["_s"], pdf["_e"], strict=True):
+                if at != (g, p):
+                    at, taken, last = (g, p), set(), {}
+                free = own_name
+                if free in taken:
+                    n = last.get(own_name, 2)
+                    while (free := f"{s}_{n}{e}") in taken:
+                        n += 1
+                    last[own_name] = n + 1
+                taken.add(free)
+                out.append(free)
+            yield pdf[[group, order, name]].assign(file_name=out)
+
+    return own.mapInPandas(run, f"{group} {kinds[group]}, {order} {kinds[order]}, {name} string, file_name string")
+
+
 def preferred_name(atts: DataFrame) -> DataFrame:
     """The name to save a file under: saved name, else name without counters, else ``attachment``; pictures as gif.
 
-    Names that collide within a note get ``_2``, ``_3`` in order of id.
+    Names that collide within a note are numbered in order of id.
     """
     base = F.coalesce(F.when(F.col("saved_name") != "", F.col("saved_name")), F.when(F.col("name") != "", F.col("name")), F.lit("attachment"))
     pretty = sanitize_filename(strip_sequence(base))
     pretty = F.when((F.col("type") == "image") & (suffix(pretty) == ""), F.concat(pretty, F.lit(".gif"))).otherwise(pretty)
-    own = atts.select("att_id", "unid", pretty.alias("pretty"))
-    n = F.row_number().over(W.partitionBy("unid", "pretty").orderBy("att_id"))
-    return own.withColumn("n", n).select("att_id", "unid", "pretty", F.when(F.col("n") == 1, F.col("pretty")).otherwise(F.concat(stem(F.col("pretty")), F.lit("_"), F.col("n").cast("string"), suffix(F.col("pretty")))).alias("file_name"))
+    return unique_names(atts.select("att_id", "unid", pretty.alias("pretty")), "unid", "att_id").select("att_id", "unid", "pretty", "file_name")
 
 
 def fuzzy(atts: DataFrame, files: DataFrame) -> DataFrame:

@@ -8,11 +8,11 @@ the rich text get the path of the file they mean, by name first, then by display
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from folioforge.functions.text import sanitize_filename, stem, strip_sequence, suffix
+from folioforge.functions.text import sanitize_filename, strip_sequence, suffix
 from folioforge.operators import tokens
+from folioforge.operators.attachments import unique_names
 from folioforge.sources import dxl
 
 ATTACHMENT = "array<struct<name:string,type:string,ref:struct<element:string,name:string,index:int>,size:bigint,created:string,modified:string>>"
@@ -51,8 +51,7 @@ def extract(notes: DataFrame) -> DataFrame:
     borrowed = F.when((suffix(base) == "") & (F.col("type") == "file"), F.concat(base, suffix(F.col("name")))).otherwise(base)
     named = F.when((F.col("type") == "image") & (suffix(base) == ""), F.concat(base, F.lit("."), F.coalesce("d.format", F.lit("gif")))).otherwise(borrowed)
     pretty = j.withColumn("pretty", sanitize_filename(strip_sequence(named)))
-    n = F.row_number().over(W.partitionBy("path", "pretty").orderBy("pos"))
-    unique = pretty.withColumn("n", n).withColumn("file_name", F.when(F.col("n") == 1, F.col("pretty")).otherwise(F.concat(stem(F.col("pretty")), F.lit("_"), F.col("n").cast("string"), suffix(F.col("pretty")))))
+    unique = pretty.join(unique_names(pretty.select("path", "pos", "pretty"), "path", "pos").drop("pretty"), ["path", "pos"])
     content = F.col("d.content")
     return unique.select(
         "path", "unid", "pos", "name", "type", "displayname", "file_name", F.when(content.isNotNull(), F.concat(F.lit("attachments/"), "file_name")).alias("content_path"),

@@ -5,53 +5,159 @@ hangs in and its position there. So the parent's label is the label without its
 has to carry its ancestors or be joined with them. Nodes with the same slots, positions left out, are one table.
 
 Only the walk of a single payload is Python (Spark's types can't recurse); it is row-local and streams in Arrow
-batches. Labels, parents and tables are JVM expressions.
-
-Defined results: a null, empty or incomplete payload, or one that is no object, gives no node; null entries keep their
-position and give none; a lone object stands for a list of one; a list given as JSON text is that list; lists inside
-lists, and lists that a field consists of, are walked and give no nodes of their own; any number of envelopes is opened;
-of two equal keys of one object the last counts; records are told apart by ``record_id``, so a repeated record gives its
-rows once per id.
+batches. Labels, parents and tables are JVM expressions. Nothing in the walk recurses, so neither the depth of a
+payload nor the number of its envelopes is bounded; where the standard reader gives up, an iterative one takes over.
+
+Defined results: a null, empty or incomplete payload, or one that is no object, gives no node and is counted in the
+report; null entries keep their position and give none; a lone object stands for a list of one; a list given as JSON
+text is that list; lists inside lists, and lists that a field consists of, are walked and give no nodes of their own;
+any number of envelopes is opened, whatever else they hold: the document is the nearest object with fields, attachments
+or layout, objects in lists and in JSON text included; of two equal keys of one object the last counts; records are told
+apart by ``record_id``, so a repeated record gives its rows once per id.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
+from json.decoder import scanstring
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LISTS = ("runs", "rows", "cells", "columns", "title_runs", "body_runs")
-ROOT_KEYS = ("fields", "attachments", "layout", "meta", "links", "schema_version")
+#: What makes an object the document itself.
+ROOT_KEYS = ("fields", "attachments", "layout")
 NODE = "record_id long, slots array<string>, ordinals array<int>, table string, content string"
+#: Table name of the one marker row of a payload that is no document.
+UNREADABLE = "(unreadable)"
+#: Nodes, and steps in their labels, that are handed over at once.
+BATCH_NODES, BATCH_STEPS = 20_000, 1_000_000
+
+_BLANK = re.compile(r"[ \t\n\r]*")
+_SCALAR = re.compile(r"true|false|null|NaN|-?Infinity|-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?")
+
+
+def loads(text: str):
+    """The JSON value of a text of any depth; ValueError if it is none."""
+    try:
+        return json.loads(text)
+    except RecursionError:
+        return _loads_deep(text)
+
+
+def _loads_deep(text: str):
+    """``json.loads`` with a stack of its own: open containers, and the keys under which objects hang in them."""
+    top: list = []
+    open_, keys = [top], [None]
+    at, n = _BLANK.match(text, 0).end(), len(text)
+    expect = "value"  # value, first (or the end of the container), next (a comma or the end), key
+    while at < n:
+        own, c = open_[-1], text[at]
+        if len(open_) == 1 and top:
+            raise ValueError("extra data")
+        if expect in ("first", "next") and c == ("}" if isinstance(own, dict) else "]") and len(open_) > 1:
+            open_.pop()
+            keys.pop()
+            expect, at = "next", at + 1
+        elif expect == "next":
+            if c != ",":
+                raise ValueError("no comma")
+            expect, at = ("key" if isinstance(own, dict) else "value"), at + 1
+        elif expect == "key" or (expect == "first" and isinstance(own, dict)):
+            if c != '"':
+                raise ValueError("no key")
+            keys[-1], at = scanstring(text, at + 1)
+            at = _BLANK.match(text, at).end()
+            if text[at : at + 1] != ":":
+                raise ValueError("no colon")
+            expect, at = "value", at + 1
+        else:
+            if c in "{[":
+                value = {} if c == "{" else []
+                at += 1
+            elif c == '"':
+                value, at = scanstring(text, at + 1)
+            elif m := _SCALAR.match(text, at):
+                value, at = json.loads(m.group()), m.end()
+            else:
+                raise ValueError("no value")
+            if isinstance(own, dict):
+                own[keys[-1]] = value
+            else:
+                own.append(value)
+            expect = "next"
+            if c in "{[":
+                open_.append(value)
+                keys.append(None)
+                expect = "first"
+        at = _BLANK.match(text, at).end()
+    if len(open_) > 1 or not top:
+        raise ValueError("incomplete")
+    return top[0]
+
+
+def dumps(value) -> str:
+    """JSON text of a value of any depth."""
+    try:
+        return json.dumps(value, ensure_ascii=False)
+    except RecursionError:
+        pass
+    out: list[str] = []
+    todo: list = [(value, None)]
+    while todo:
+        x, text = todo.pop()
+        if text is not None:
+            out.append(text)
+        elif isinstance(x, dict):
+            todo.append((None, "}"))
+            for k, (key, child) in reversed(list(enumerate(x.items()))):
+                todo += [(child, None), (None, (", " if k else "") + json.dumps(key, ensure_ascii=False) + ": ")]
+            out.append("{")
+        elif isinstance(x, list):
+            todo.append((None, "]"))
+            for k, child in reversed(list(enumerate(x))):
+                todo.append((child, None))
+                if k:
+                    todo.append((None, ", "))
+            out.append("[")
+        else:
+            out.append(json.dumps(x, ensure_ascii=False))
+    return "".join(out)
 
 
 def load(payload: str | None) -> dict | None:
-    """The normalized document in a payload, out of its envelope; None if it is no complete JSON object."""
+    """The normalized document in a payload, out of its envelopes; None if it is no complete JSON object."""
     if payload is None:
         return None
     try:
-        doc = json.loads(payload.lstrip("﻿"))
-    except (ValueError, RecursionError):
+        doc = loads(payload.lstrip("\ufeff"))
+    except ValueError:
         return None
-    while isinstance(doc, dict):
-        if any(k in doc for k in ROOT_KEYS):
-            return doc
-        inner = [x for x in map(_opened, doc.values()) if isinstance(x, dict) and (any(k in x for k in ROOT_KEYS) or len(x) == 1)]
-        if not inner:
-            return doc
-        doc = inner[0]
-    return None
+    if not isinstance(doc, dict):
+        return None
+    level: list = [doc]
+    while level:  # nearest first
+        below: list = []
+        for x in level:
+            if isinstance(x, dict):
+                if any(k in x for k in ROOT_KEYS):
+                    return x
+                below += [v for v in map(_opened, x.values()) if isinstance(v, dict | list)]
+            else:
+                below += [v for v in map(_opened, x) if isinstance(v, dict | list)]
+        level = below
+    return doc
 
 
 def _opened(value):
     """JSON text of an object or a list as that value."""
-    if isinstance(value, str) and value.lstrip("﻿ \t\r\n")[:1] in ("{", "["):
+    if isinstance(value, str) and value.lstrip("\ufeff \t\r\n")[:1] in ("{", "["):
         try:
-            return json.loads(value.lstrip("﻿"))
-        except (ValueError, RecursionError):
+            return loads(value.lstrip("\ufeff"))
+        except ValueError:
             return value
     return value
 
@@ -63,10 +169,29 @@ def _entries(value) -> list:
 
 
 def _scalars(value) -> str | None:
-    """The node's own values as JSON, without what becomes nodes of its own."""
+    """The node's own values as JSON, without what becomes nodes of its own at any depth."""
     if isinstance(value, dict):
         value = {k: v for k, v in value.items() if k not in LISTS}
-    return json.dumps(value, ensure_ascii=False)
+        deep = any(isinstance(v, dict | list) for v in value.values())
+    else:
+        deep = isinstance(value, list)
+    return dumps(_bare(value) if deep else value)
+
+
+def _bare(value):
+    """A copy of objects and lists without the lists of nodes."""
+    top: list = [None]
+    todo = [(value, top, 0)]
+    while todo:
+        x, into, at = todo.pop()
+        if isinstance(x, dict):
+            own = into[at] = {k: v for k, v in x.items() if k not in LISTS}
+        elif isinstance(x, list):
+            own = into[at] = list(x)
+        else:
+            continue
+        todo += [(v, own, k) for k, v in (own.items() if isinstance(own, dict) else enumerate(own)) if isinstance(v, dict | list)]
+    return top[0]
 
 
 def nodes(doc: dict) -> Iterator[tuple[list[str], list[int], str | None]]:
@@ -87,7 +212,7 @@ def nodes(doc: dict) -> Iterator[tuple[list[str], list[int], str | None]]:
     for name, values in layout.items() if isinstance(layout, dict) else ():
         for k, value in enumerate(_entries(values)):
             if value is not None:
-                yield [f"layout.{name}[{k}]"], [k], json.dumps(value, ensure_ascii=False)
+                yield [f"layout.{name}[{k}]"], [k], dumps(value)
     stack.reverse()
     while stack:
         slots, ordinals, value, gap = stack.pop()
@@ -109,33 +234,53 @@ def nodes(doc: dict) -> Iterator[tuple[list[str], list[int], str | None]]:
         stack += reversed(below)
 
 
-def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import re
+_AT = re.compile(r"\[\d+\]")
+
 
-    at = re.compile(r"\[\d+\]")
+def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    frame = lambda rows: pd.DataFrame(rows, columns=["record_id", "slots", "ordinals", "table", "content"])
+    names: dict[str, str] = {}
     for pdf in batches:
-        out = []
+        out, steps = [], 0
         for record, payload in zip(pdf["record_id"], pdf["payload"], strict=True):
             doc = load(payload)
-            for slots, ordinals, content in nodes(doc) if doc else ():
-                table = "".join(at.sub("", s) for s in (["fields", *slots[1:]] if slots[0].startswith("fields.") else slots))
+            if doc is None:
+                out.append((record, [], [], UNREADABLE, None))
+                continue
+            for slots, ordinals, content in nodes(doc):
+                path = "".join(["fields", *slots[1:]] if slots[0].startswith("fields.") else slots)
+                table = names.get(path)
+                if table is None:
+                    if len(names) > BATCH_NODES:
+                        names.clear()
+                    table = _AT.sub("", path)
+                    if len(path) < 200:
+                        names[path] = table
                 out.append((record, slots, ordinals, table, content))
-        for k in range(0, max(1, len(out)), 20_000):
-            yield pd.DataFrame(out[k : k + 20_000], columns=["record_id", "slots", "ordinals", "table", "content"])
+                steps += len(slots)
+                if len(out) >= BATCH_NODES or steps >= BATCH_STEPS:
+                    yield frame(out)
+                    out, steps = [], 0
+        yield frame(out)
 
 
 def _path(slots: Column) -> Column:
     return F.array_join(slots, "")
 
 
+def walked(records: DataFrame) -> DataFrame:
+    """Nodes as slots and ordinals, with one marker row for each payload that is no document."""
+    raw = records.select(F.col("record_id").cast("long").alias("record_id"), F.col("payload").cast("string").alias("payload"))
+    return raw.mapInPandas(_walk, NODE)
+
+
 def flatten(records: DataFrame) -> DataFrame:
     """All nodes of all records.
 
     Columns: record_id, node_path, parent_path (``$`` at the top), dewey (ordinals, sorts in document order),
     depth, table (path of the schema: positions and field names left out), content (the node's own values as JSON).
     """
-    raw = records.select(F.col("record_id").cast("long").alias("record_id"), F.col("payload").cast("string").alias("payload")).where(F.col("payload").isNotNull())
-    flat = raw.mapInPandas(_walk, NODE)
+    flat = walked(records).where(F.col("table") != UNREADABLE)
     depth = F.size("slots")
     parent = F.when(depth > 1, _path(F.slice("slots", 1, F.greatest(depth - 1, F.lit(1))))).otherwise(F.lit("$"))
     return flat.select("record_id", _path(F.col("slots")).alias("node_path"), parent.alias("parent_path"), F.col("ordinals").alias("dewey"), depth.alias("depth"), "table", "content")
@@ -157,8 +302,10 @@ def tables(flat: DataFrame) -> DataFrame:
 
 
 def report(records: DataFrame) -> DataFrame:
-    """Rows, records and deepest level of each flat table."""
-    return flatten(records).groupBy("table").agg(F.count("*").alias("n_rows"), F.countDistinct("record_id").alias("n_records"), F.max("depth").alias("max_depth"))
+    """Rows, records and deepest level of each flat table, and a row that counts the payloads that are no document."""
+    own = walked(records).select("table", "record_id", F.size("slots").alias("depth"))
+    rows = F.count_if(F.col("table") != UNREADABLE)
+    return own.groupBy("table").agg(rows.alias("n_rows"), F.countDistinct("record_id").alias("n_records"), F.max("depth").alias("max_depth"))
 
 
 def found(records: DataFrame) -> DataFrame:

@@ -44,9 +44,13 @@ def retry_errors(log: DataFrame, max_try: int = 3) -> DataFrame:
 
 
 def drop_by_keyword(log: DataFrame, keyword: str) -> DataFrame:
-    """The log without all lines of the keys of which any line names the keyword in its output."""
-    hit = log.where(F.col("out_path").contains(keyword)).select("db", "unid").distinct()
-    return log.join(hit, KEY, "left_anti")
+    """The log without all lines of the notes of which any line names the keyword in its output.
+
+    A note is its unid, however written and in whatever database; lines without one stay.
+    """
+    key = note_key(F.col("unid"))
+    hit = log.where(F.col("out_path").contains(keyword)).select(key.alias("_k")).distinct()
+    return log.withColumn("_k", key).join(hit, "_k", "left_anti").drop("_k")
 
 
 def islands(log: DataFrame) -> DataFrame:

@@ -1,13 +1,15 @@
 """References to records that do not exist, by range-partitioned sorted parent arrays.
 
-Keys (replica, unid) are brought to one spelling and cut into ranges by their leading digits. The events of the
-parents (deliveries, deletions) and the references of a range meet in one sorted stream, parents first: a task reads
-the parents of a range into one sorted array and probes the references that follow in vectorised batches by binary
-search. An entry of the array is key + time, so one search finds the last event of a key up to a time.
+Keys (replica, unid) are brought to one spelling and cut into ranges of neighbouring keys. The events of the parents
+(deliveries, deletions) and the references of a range meet in one sorted stream, parents first: a task reads the
+parents of a range into one sorted array and probes the references that follow in vectorised batches by binary search.
+An entry of the array is key + time, so one search finds the last event of a key up to a time.
 
-A range that draws many references is split by a salt, as many ways as its measured count asks for; its parents go to
-every part. The counts are at most one row per range. Parents are reduced to the turns of their state before they are
-shuffled to their ranges, and the number of ranges follows the number of parents, so that a range stays small.
+A range is named by the leading digits of its keys: as many as the number of parents asks for, and two more wherever the
+parents under a beginning are counted to be too many for one array, until none is. A range that draws many references is
+split by a salt, as many ways as its measured count asks for; its parents go to every part. Parents are reduced to the
+turns of their state, first per key and day and then per key, before they are shuffled to their ranges, so a note that
+was delivered very often isn't put in order in one task.
 
 Defined results: keys that can't be read name nothing, so their references are orphans; deliveries without a key are
 none; a reference without ``seen_at`` is compared with all events; a delivery and a deletion at one instant count as
@@ -25,11 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Least hexadecimal digits of the unid that name a range.
-RANGE_DIGITS = 3
+#: Least hexadecimal digits of the unid that name a range, and those of a whole key.
+RANGE_DIGITS, KEY_DIGITS = 3, 48
+#: Parents (turns) that a range is meant to hold, and those beyond which it is cut further.
+RANGE_PARENTS, MOST_PARENTS = 100_000, 400_000
 #: References that one part of a range takes before the range is split.
 PART_ROWS = 200_000
 _LATE = 9_223_372_036_854_775_807
+DAY = 86_400_000_000
 
 
 # Separators and blanks that keys are written with.
@@ -65,21 +70,51 @@ def events(docs: DataFrame, stubs: DataFrame) -> DataFrame:
     plain = made.groupBy("key").agg(F.min("at").alias("at")).join(deleted, "key", "left_anti").select("key", "at", F.lit(1).alias("alive"))
     # At one instant the delivery counts.
     moved = made.join(deleted, "key", "left_semi").union(gone).groupBy("key", "at").agg(F.max("alive").alias("alive"))
-    before = F.lag("alive").over(W.partitionBy("key").orderBy("at"))
-    turns = moved.withColumn("before", before).where(~F.col("before").eqNullSafe(F.col("alive"))).drop("before")
-    return plain.unionByName(turns)
+    daily = _turns(moved.withColumn("day", F.floor(F.col("at") / DAY)), "key", "day")
+    return plain.unionByName(_turns(daily, "key").select("key", "at", "alive"))
 
 
-def range_digits(parents: int, each: int = 100_000) -> int:
-    """Digits that cut so many parents into ranges of about ``each``: 3 to 5, so at most 16 ** 5 ranges."""
-    return min(5, max(RANGE_DIGITS, math.ceil(math.log(max(1.0, parents / each), 16))))
+def _turns(moved: DataFrame, *group: str) -> DataFrame:
+    """The first row of each group and those that differ from the one before."""
+    before = F.lag("alive").over(W.partitionBy(*group).orderBy("at"))
+    return moved.withColumn("before", before).where(~F.col("before").eqNullSafe(F.col("alive"))).drop("before")
+
+
+def range_digits(parents: int) -> int:
+    """Digits that cut so many parents of even spread into ranges of about ``RANGE_PARENTS``."""
+    return max(RANGE_DIGITS, math.ceil(math.log(max(1.0, parents / RANGE_PARENTS), 16)))
+
+
+def deeper(parents: DataFrame, digits: int, most: int = MOST_PARENTS) -> list[list[str]]:
+    """Beginnings that are too full for one array, by rounds: of ``digits`` digits, of two more, and so on.
+
+    Each round counts below the full beginnings of the one before; at most parents / most of them reach the driver.
+    """
+    out: list[list[str]] = []
+    while digits < KEY_DIGITS:
+        own = parents if not out else parents.where(F.substring("key", 1, digits - 2).isin(out[-1]))
+        full = [r["p"] for r in own.groupBy(F.substring("key", 1, digits).alias("p")).count().where(F.col("count") > most).collect()]
+        if not full:
+            break
+        out.append(sorted(full))
+        digits += 2
+    return out
+
+
+def range_of(key: Column, digits: int, full: list[list[str]]) -> Column:
+    """The beginning of a key that names its range."""
+    out = F.substring(key, 1, digits + 2 * len(full))
+    for k in range(len(full) - 1, -1, -1):
+        part = F.substring(key, 1, digits + 2 * k)
+        out = F.when(part.isin(full[k]), out).otherwise(part)
+    return out
 
 
 def references(links: DataFrame, attachments: DataFrame) -> DataFrame:
     """All references: ref_table, ref_id, key (null: names nothing), at (us), seen_at."""
     blank = lambda c: F.when(F.translate(F.col(c), " \t\r\n\u00a0\u3000", "") != "", F.col(c))
     # notes://host/replica/view/unid?query with any number of slashes after the scheme.
-    rest = F.when(F.lower(F.substring(F.trim("raw"), 1, 6)) == "notes:", F.ltrim(F.substring(F.trim("raw"), 7, 100_000), F.lit("/")))
+    rest = F.when(F.lower(F.substring(F.trim("raw"), 1, 6)) == "notes:", F.ltrim(F.expr("substring(trim(raw), 7)"), F.lit("/")))
     step = lambda k: F.nullif(F.trim(F.substring_index(F.get(F.split(rest, "/"), F.lit(k)), "?", 1)), F.lit(""))
     url_replica, url_unid = step(1), step(3)
     replica = replica_key(F.coalesce(blank("replica"), url_replica, F.col("doc_replica")))
@@ -137,18 +172,23 @@ def _ordered(entries: np.ndarray) -> np.ndarray:
     return np.char.add(entries["k"], np.array([time[i : i + 16] for i in range(0, len(time), 16)], dtype="S16")) if len(entries) else np.empty(0, "S64")
 
 
-def orphans(refs: DataFrame, parents: DataFrame, digits: int = RANGE_DIGITS, part_rows: int = PART_ROWS) -> DataFrame:
+def orphans(refs: DataFrame, parents: DataFrame, digits: int | None = None, part_rows: int = PART_ROWS, most: int = MOST_PARENTS) -> DataFrame:
     """ref_table, ref_id and seen_at of the references whose key isn't alive at their time."""
+    from folioforge.session import checkpoint
+
     spark = refs.sparkSession
+    parents = checkpoint(parents)  # counted and read again
+    digits = range_digits(parents.count()) if digits is None else digits
+    full = deeper(parents, digits, most)
     # Keys that name nothing go through as misses, spread by their id.
-    first = F.coalesce(F.substring("key", 1, digits), F.concat(F.lit("-"), F.pmod(F.xxhash64("ref_id"), F.lit(64)).cast("string")))
+    first = F.coalesce(range_of(F.col("key"), digits, full), F.concat(F.lit("-"), F.pmod(F.xxhash64("ref_id"), F.lit(64)).cast("string")))
     keyed = refs.withColumn("range", first)
-    # At most 16 ** 5 + 64 rows: their number doesn't depend on the data.
+    # One row per range: their number follows the number of parents, some tens of bytes for ``RANGE_PARENTS`` of them.
     parts = keyed.groupBy("range").agg(F.greatest(F.ceil(F.count("*") / part_rows), F.lit(1)).cast("int").alias("parts"))
     own = keyed.join(F.broadcast(parts), "range")
     none = lambda kind: F.lit(None).cast(kind)
     salted = own.select(F.concat_ws("/", "range", F.pmod(F.xxhash64("ref_table", "ref_id"), F.col("parts")).cast("string")).alias("part"), F.coalesce("key", F.lit("")).alias("key"), "at", none("int").alias("alive"), "ref_table", F.col("ref_id").cast("long").alias("ref_id"), F.unix_micros("seen_at").alias("seen_us"))
-    spread = parents.withColumn("range", F.substring("key", 1, digits)).join(F.broadcast(parts), "range")
+    spread = parents.withColumn("range", range_of(F.col("key"), digits, full)).join(F.broadcast(parts), "range")
     spread = spread.select(F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("s"), "range", "key", "at", "alive")
     spread = spread.select(F.concat_ws("/", "range", F.col("s").cast("string")).alias("part"), "key", "at", "alive", none("string").alias("ref_table"), none("long").alias("ref_id"), none("long").alias("seen_us"))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -163,6 +203,5 @@ def report(found: DataFrame) -> DataFrame:
 
 
 def find(links: DataFrame, attachments: DataFrame, docs: DataFrame, stubs: DataFrame, **options: int) -> DataFrame:
-    """Orphan references of link_notes and doc_attachments. The number of ranges follows the number of parents."""
-    options.setdefault("digits", range_digits(docs.count() + stubs.count()))
+    """Orphan references of link_notes and doc_attachments."""
     return orphans(references(links, attachments), events(docs, stubs), **options)

@@ -3,26 +3,34 @@
 Every written form is parsed with JVM expressions into (local microseconds, zone, offset). Stamps that carry an
 offset are done at once. Wall-clock stamps are matched, as-of, with a table of zone-offset intervals exploded to
 (zone, year): the intervals of that cell which contain the local time are kept. Two of them: the wall clock shows
-that time twice. None: the clock skips it. One: its offset gives the instant.
+that time twice. None: the clock skips it. One: its offset gives the instant. An abbreviation that the zone of the
+database uses at that time means its offset there; any other has the one meaning that prevails.
 
-The interval table has at most (zones of the tz database) x (years) rows, some 600 x 200 whatever the data, so it is
-broadcast and the stamps never shuffle.
+The intervals are those of the zones in use, the databases' and those that stamps name, at most the names of the tz
+database. Years before ``FIRST_YEAR`` share its first interval (local mean time; no zone changed its clock earlier);
+years after ``LAST_YEAR`` repeat a year of the same length and weekdays, as the rules in force then go by these. So the
+table is bounded whatever the data, is broadcast, and the stamps never shuffle.
 
 Defined results: null, empty and unreadable stamps, dates without a time, impossible dates and times give
-``utc_us = NULL`` with a ``status``; repeated rows are kept row by row; an unknown zone gives ``no_zone``.
+``utc_us = NULL`` with a ``status``; 24:00:00 is the midnight that ends the day; numbers of 9 or 10, 13 and 16 digits
+count seconds, milliseconds and microseconds since 1970 (12 digits may be either a date or milliseconds and are
+unreadable); repeated rows are kept row by row; an unknown zone gives ``no_zone``; zone names count in any case.
 """
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
 import zoneinfo
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FIRST_YEAR, LAST_YEAR = 1900, 2100
+FIRST_YEAR, LAST_YEAR = 1840, 2115
+#: Years that stand for later ones: all lengths and weekdays, after the last rule that is bound to a single year.
+_LATER = range(2088, 2116)
 US = 1_000_000
 
 # Abbreviations of zones and their offsets in minutes, where one meaning prevails.
@@ -60,7 +68,7 @@ _COMPACT = r"(?i)^(\d{4})(\d{2})(\d{2})t?(\d{2})(\d{2})(\d{2})(?:[.,](\d{1,9}))?
 _NUMERIC = r"(?i)^(\d{1,2})[./-](\d{1,2})[./-](\d{4}|\d{2})(?:,?\s+|t)" + _TAIL
 _DAY_MONTH = r"(?i)^(?:\p{L}+\.?,\s*)?(\d{1,2})(?:\.|er)?\s+(?:de )?(\p{L}+)\.?\s+(?:de )?(\d{4}),?\s+(?:(?:à|um|om|at|às|alle|a las)\s+)?" + _TAIL
 _MONTH_DAY = r"(?i)^(?:\p{L}+\.?,\s*)?(\p{L}+)\.?\s+(\d{1,2}),\s*(\d{4}),?\s+(?:at\s+)?" + _TAIL
-_EPOCH = r"^(\d{10}|\d{13}|\d{16})$"
+_EPOCH = r"^(\d{9,10}|\d{13}|\d{16})$"
 _DONE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d+)?Z$"
 
 
@@ -68,42 +76,90 @@ def _intervals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     step, utc = dt.timedelta(days=14), dt.UTC
     for pdf in batches:
         rows = []
-        for name in pdf["zone"]:
+        for key, name in zip(pdf["zone"], pdf["name"], strict=True):
             zone = zoneinfo.ZoneInfo(name)
-            offset = lambda t: t.replace(tzinfo=utc).astimezone(zone).utcoffset()  # noqa: E731, B023
+
+            def state(t, zone=zone):
+                here = t.replace(tzinfo=utc).astimezone(zone)
+                return here.utcoffset(), here.tzname()
+
             begin, end = dt.datetime(FIRST_YEAR - 1, 12, 25), dt.datetime(LAST_YEAR + 1, 1, 8)
-            cuts, at, now = [(begin, offset(begin))], begin, offset(begin)
+            cuts, at, now = [(begin, state(begin))], begin, state(begin)
             while at < end:
                 after = min(at + step, end)
-                if (then := offset(after)) != now:
+                if (then := state(after)) != now:
                     low, high = at, after
                     while high - low > dt.timedelta(seconds=1):
                         mid = low + dt.timedelta(seconds=int((high - low).total_seconds()) // 2)
-                        low, high = (mid, high) if offset(mid) == now else (low, mid)
-                    now = offset(high)
+                        low, high = (mid, high) if state(mid) == now else (low, mid)
+                    now = state(high)
                     cuts.append((high, now))
                     after = high if now != then else after
                 at = after
-            for (start, off), (stop, _) in zip(cuts, [*cuts[1:], (end, None)], strict=True):
+            for (start, (off, abbreviation)), (stop, _) in zip(cuts, [*cuts[1:], (end, None)], strict=True):
                 us = lambda t, o=off: int((t + o - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1))
                 lo, hi = us(start), us(stop)
-                rows += [(name, y, int(off.total_seconds()), lo, hi) for y in range((start + off).year, (stop + off).year + 1)]
-        yield pd.DataFrame(rows, columns=["zone", "year", "offset_s", "lo", "hi"])
+                rows += [(key, y, int(off.total_seconds()), lo, hi, abbreviation.upper()) for y in range((start + off).year, (stop + off).year + 1)]
+        yield pd.DataFrame(rows, columns=["zone", "year", "offset_s", "lo", "hi", "abbreviation"])
+
+
+def zone_names() -> dict[str, str]:
+    """Names of the tz database by their lower-case form."""
+    return {z.lower(): z for z in sorted(zoneinfo.available_timezones()) if z not in ("localtime", "posixrules", "Factory")}
+
+
+def zone_intervals(spark: SparkSession, zones: Iterable[str]) -> DataFrame:
+    """One row per (zone in lower case, local year): ``spans`` lists the offset intervals that touch it, in local microseconds.
+
+    Neighbours of equal offset that differ in their abbreviation only are told apart by it, not by their time.
+    """
+    names = zone_names()
+    used = sorted({z.lower() for z in zones} & names.keys())
+    width = max(1, min(32, len(used), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    rows = spark.createDataFrame([(n, names[n]) for n in used], "zone string, name string").repartition(width, "zone")
+    flat = rows.mapInPandas(_intervals, "zone string, year int, offset_s int, lo long, hi long, abbreviation string")
+    return flat.groupBy("zone", "year").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "offset_s", "abbreviation"))).alias("spans"))
 
 
-def zone_intervals(spark: SparkSession) -> DataFrame:
-    """One row per (zone, local year): ``spans`` lists the offset intervals that touch it, in local microseconds."""
-    names = sorted(z for z in zoneinfo.available_timezones() if z not in ("localtime", "posixrules", "Factory"))
-    width = min(32, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    zones = spark.createDataFrame([(n,) for n in names], "zone string").repartition(width, "zone")
-    flat = zones.mapInPandas(_intervals, "zone string, year int, offset_s int, lo long, hi long")
-    return flat.groupBy("zone", "year").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "offset_s"))).alias("spans"))
+def zones_in_use(every: DataFrame) -> list[str]:
+    """Known zones of the databases (``tz``) and those that the stamps name; at most as many as the tz database has."""
+    named = F.regexp_extract_all("stamp", F.lit(r"([A-Za-z_]+(?:/[A-Za-z_+-]+){1,2}|\[[A-Za-z]+\])"), F.lit(1))
+    wanted = F.array_append(F.when(F.col("stamp").rlike(r"[A-Za-z]/[A-Za-z]|\["), named).otherwise(F.array().cast("array<string>")), F.col("tz"))
+    return _known(every.select(F.explode(wanted).alias("z")).select(F.lower(F.translate("z", "[]", "")).alias("zone")))
 
 
-def _split(stamp: Column, pattern: str, groups: int) -> Column:
-    """All groups of a pattern in one pass of the matcher; null where it doesn't match."""
-    parts = F.split(F.regexp_replace(stamp, F.lit(pattern), F.lit("¦".join(f"${i}" for i in range(1, groups + 1)))), "¦")
-    return F.when(stamp.rlike(pattern), parts)
+def _known(zones: DataFrame) -> list[str]:
+    known = zones.sparkSession.createDataFrame([(z,) for z in zone_names()], "zone string")
+    return [r["zone"] for r in zones.join(F.broadcast(known), "zone", "left_semi").distinct().collect()]
+
+
+def _later() -> dict[int, tuple[int, int]]:
+    """Representative year and its first day (days since 1970), by weekday of 1 January and length of the year."""
+    out = {}
+    for y in _LATER:
+        first = dt.date(y, 1, 1)
+        out[first.weekday() + 7 * calendar.isleap(y)] = (y, (first - dt.date(1970, 1, 1)).days)
+    return out
+
+
+def _fold(local: Column) -> tuple[Column, Column]:
+    """(year of the interval table, local time there): as it is within the table, else of the year that stands for it."""
+    year = F.year(F.timestamp_micros(local))
+    first = F.make_date(year, F.lit(1), F.lit(1))
+    leap = F.dayofyear(F.make_date(year, F.lit(12), F.lit(31))) == 366
+    same = F.element_at(F.create_map(*[F.lit(x) for k, (y, d) in _later().items() for x in (k, F.struct(F.lit(y).alias("y"), F.lit(d).alias("d")))]), F.weekday(first) + F.when(leap, 7).otherwise(0))
+    shift = (same["d"] - F.unix_date(first)).cast("long") * 86_400 * US
+    start = (dt.date(FIRST_YEAR, 1, 2) - dt.date(1970, 1, 1)).days * 86_400 * US
+    return F.when(year > LAST_YEAR, same["y"]).otherwise(F.greatest(year, F.lit(FIRST_YEAR))), F.when(year > LAST_YEAR, local + shift).when(year < FIRST_YEAR, F.lit(start)).otherwise(local)
+
+
+def _split(stamp: Column, patterns: dict[str, tuple[str, int]]) -> Column:
+    """Name of the first pattern that matches and its groups; the others aren't tried any more. Null if none does."""
+    out = None
+    for name, (pattern, groups) in patterns.items():
+        parts = F.split(F.regexp_replace(stamp, F.lit(pattern), F.lit("¦".join([name, *(f"${i}" for i in range(1, groups + 1))]))), "¦")
+        out = F.when(stamp.rlike(pattern), parts) if out is None else out.when(stamp.rlike(pattern), parts)
+    return out
 
 
 def _month(word: Column) -> Column:
@@ -112,7 +168,7 @@ def _month(word: Column) -> Column:
 
 
 def parse(df: DataFrame, stamp: str, date_order: str, zone: str) -> DataFrame:
-    """Add ``p_local`` (local us), ``p_zone``, ``p_offset`` (s) and ``p_status`` for the column ``stamp``.
+    """Add ``p_local`` (local us), ``p_zone``, ``p_offset`` (s), ``p_name`` (abbreviation) and ``p_status`` for the column ``stamp``.
 
     ``p_status``: ``ok`` or why not: ``missing``, ``unreadable``, ``impossible``.
     """
@@ -120,31 +176,27 @@ def parse(df: DataFrame, stamp: str, date_order: str, zone: str) -> DataFrame:
     s = F.trim(F.regexp_replace(F.translate(F.col(stamp), wide, ascii_), r"[​‎‏⁠﻿]", ""))
     df = df.withColumn("_s", s)
     s = F.col("_s")
-    # Each branch gives: year, month, day, half-of-day, hour, minute, second, fraction, am/pm, zone, bracketed zone.
+    df = df.withColumn("_a", _split(s, {"iso": (_ISO, 11), "num": (_NUMERIC, 11), "cpt": (_COMPACT, 9), "dm": (_DAY_MONTH, 11), "md": (_MONTH_DAY, 11), "era": (_ERA, 12)}))
     get = lambda a, i: F.get(a, F.lit(i))
-    tail = lambda a, k: [get(a, i) for i in range(k, k + 8)]
-    iso, era, num, dm, md = (F.col(c) for c in ("_iso", "_era", "_num", "_dm", "_md"))
-    cpt = F.col("_cpt")
-    df = df.withColumns({"_iso": _split(s, _ISO, 11), "_era": _split(s, _ERA, 12), "_cpt": _split(s, _COMPACT, 9), "_num": _split(s, _NUMERIC, 11), "_dm": _split(s, _DAY_MONTH, 11), "_md": _split(s, _MONTH_DAY, 11)})
+    g = lambda i: get(F.col("_a"), i)
+    form, order, none = g(0), F.col(date_order), F.lit("")
     base = F.create_map(*[F.lit(x) for k, v in ERAS.items() for x in (k, v)])
-    era_year = (F.element_at(base, get(era, 0)) + F.when(get(era, 1) == "元", 1).otherwise(get(era, 1).try_cast("int"))).cast("string")
-    order, none = F.col(date_order), F.lit("")
-    first, second, third = get(num, 0), get(num, 1), get(num, 2)
+    era_year = (F.element_at(base, g(1)) + F.when(g(2) == "元", 1).otherwise(g(2).try_cast("int"))).cast("string")
     year4 = lambda y: F.when(F.length(y) <= 2, F.concat(F.lit("20"), F.lpad(y, 2, "0"))).otherwise(y)
-    long_year = F.length(third) == 4
-    n_year = F.when((order == "ymd") & ~long_year, year4(first)).when(order.isin("dmy", "mdy"), year4(third))
-    n_month = F.when((order == "ymd") & ~long_year, second).when(order == "mdy", first).when(order == "dmy", second)
-    n_day = F.when((order == "ymd") & ~long_year, third).when(order == "mdy", second).when(order == "dmy", first)
-    row = lambda *c: F.array(*[F.coalesce(x, none) for x in c])
+    year_first = (order == "ymd") & (F.length(g(3)) != 4)
+    n_year = F.when(year_first, year4(g(1))).when(order.isin("dmy", "mdy"), year4(g(3)))
+    n_month = F.when(year_first, g(2)).when(order == "mdy", g(1)).when(order == "dmy", g(2))
+    n_day = F.when(year_first, g(3)).when(order == "mdy", g(2)).when(order == "dmy", g(1))
+    # Each branch gives: year, month, day, half-of-day, hour, minute, second, fraction, am/pm, zone, bracketed zone.
+    row = lambda *c, tail=(): F.array(*[F.coalesce(x, none) for x in (*c, *map(g, tail))])
     df = df.withColumn(
         "_p",
-        F.when(s.rlike(_EPOCH), F.lit(None))
-        .when(iso.isNotNull(), row(get(iso, 0), get(iso, 1), get(iso, 2), *tail(iso, 3)))
-        .when(era.isNotNull(), row(era_year, get(era, 2), get(era, 3), *tail(era, 4)))
-        .when(cpt.isNotNull(), row(get(cpt, 0), get(cpt, 1), get(cpt, 2), none, get(cpt, 3), get(cpt, 4), get(cpt, 5), get(cpt, 6), none, get(cpt, 7), get(cpt, 8)))
-        .when(num.isNotNull(), row(n_year, n_month, n_day, *tail(num, 3)))
-        .when(dm.isNotNull(), row(get(dm, 2), _month(get(dm, 1)), get(dm, 0), *tail(dm, 3)))
-        .when(md.isNotNull(), row(get(md, 2), _month(get(md, 0)), get(md, 1), *tail(md, 3))),
+        F.when(form == "iso", row(tail=range(1, 12)))
+        .when(form == "num", row(n_year, n_month, n_day, tail=range(4, 12)))
+        .when(form == "cpt", row(g(1), g(2), g(3), none, g(4), g(5), g(6), g(7), none, g(8), g(9)))
+        .when(form == "dm", row(g(3), _month(g(2)), g(1), tail=range(4, 12)))
+        .when(form == "md", row(g(3), _month(g(1)), g(2), tail=range(4, 12)))
+        .when(form == "era", row(era_year, g(3), g(4), tail=range(5, 13))),
     )
     p = F.col("_p")
     number = lambda i: get(p, i).try_cast("int")
@@ -155,7 +207,8 @@ def parse(df: DataFrame, stamp: str, date_order: str, zone: str) -> DataFrame:
     hour = F.when(twelve, F.when(number(4) <= 12, number(4) % 12 + F.when(pm, 12).otherwise(0))).otherwise(number(4))
     minute, second_ = number(5), F.coalesce(number(6), F.lit(0))
     fraction = F.coalesce(F.substring(F.rpad(get(p, 7), 6, "0"), 1, 6).try_cast("long"), F.lit(0))
-    good = day.isNotNull() & (hour <= 23) & (minute <= 59) & (second_ <= 59)
+    midnight = (number(4) == 24) & ~twelve & (minute == 0) & (second_ == 0) & (fraction == 0)
+    good = day.isNotNull() & ((hour <= 23) | midnight) & (minute <= 59) & (second_ <= 59)
     local = F.unix_date(day).cast("long") * 86_400 * US + (hour.cast("long") * 3600 + minute * 60 + second_) * US + fraction
     mark, bracket = get(p, 9), get(p, 10)
     digits = F.regexp_replace(mark, r"(?i)^(utc|gmt)?[+-]|:", "")
@@ -164,17 +217,18 @@ def parse(df: DataFrame, stamp: str, date_order: str, zone: str) -> DataFrame:
     minutes = F.element_at(F.create_map(*[F.lit(x) for k, v in ABBREVIATIONS.items() for x in (k, v)]), F.upper(mark))
     named = mark.contains("/")
     offset = F.when(mark.rlike(r"(?i)^(utc|gmt)?[+-]\d"), written).when((mark != "") & ~named, minutes * 60).when((mark == "") & F.upper(bracket).isin("UTC", "GMT", "Z"), F.lit(0))
-    zone_ = F.when(named, mark).when((mark == "") & (bracket != ""), bracket).when(mark == "", F.col(zone))
-    epoch = F.when(s.rlike(_EPOCH), s.try_cast("long") * F.when(F.length(s) == 10, US).when(F.length(s) == 13, 1000).otherwise(1))
+    zone_ = F.lower(F.when(named, mark).when((mark == "") & (bracket != ""), bracket).otherwise(F.col(zone)))
+    epoch = F.when(s.rlike(_EPOCH), s.try_cast("long") * F.when(F.length(s) <= 10, US).when(F.length(s) == 13, 1000).otherwise(1))
     unknown = (mark != "") & ~named & offset.isNull()
     return df.withColumns(
         {
             "p_local": F.coalesce(epoch, F.when(good, local)),
             "p_offset": F.when(epoch.isNotNull(), F.lit(0)).otherwise(offset),
-            "p_zone": F.when(epoch.isNull(), zone_),
+            "p_zone": F.when(epoch.isNull() & ~F.coalesce(mark.rlike(r"(?i)^(utc|gmt)?[+-]\d"), F.lit(False)), zone_),
+            "p_name": F.when(epoch.isNull() & minutes.isNotNull(), F.upper(mark)),
             "p_status": F.when(F.col(stamp).isNull() | (s == ""), "missing").when(epoch.isNotNull(), "ok").when(p.isNull() | unknown, "unreadable").when(good, "ok").otherwise("impossible"),
         }
-    ).drop("_s", "_iso", "_era", "_cpt", "_num", "_dm", "_md", "_p")
+    ).drop("_s", "_a", "_p")
 
 
 def resolve(parsed: DataFrame, intervals: DataFrame | None = None) -> DataFrame:
@@ -182,15 +236,21 @@ def resolve(parsed: DataFrame, intervals: DataFrame | None = None) -> DataFrame:
 
     ``p_status`` becomes ``ambiguous`` (the clock shows the time twice), ``nonexistent`` (it skips it) or ``no_zone``.
     """
-    intervals = zone_intervals(parsed.sparkSession) if intervals is None else intervals
+    if intervals is None:
+        intervals = zone_intervals(parsed.sparkSession, _known(parsed.select(F.coalesce("p_zone", F.lit("")).alias("zone"))))
     spans = intervals.select(F.col("zone").alias("_z"), F.col("year").alias("_y"), "spans")
-    wall = (F.col("p_status") == "ok") & F.col("p_offset").isNull()
-    year = F.when(wall, F.year(F.timestamp_micros(F.col("p_local"))))
-    out = parsed.withColumn("_key", year).join(F.broadcast(spans), (F.col("p_zone") == F.col("_z")) & (F.col("_key") == F.col("_y")), "left")
-    hits = F.filter("spans", lambda x: (x["lo"] <= F.col("p_local")) & (F.col("p_local") < x["hi"]))
-    out = out.withColumn("_hits", F.when(wall, hits))
+    ok = F.col("p_status") == "ok"
+    wall = ok & F.col("p_offset").isNull()
+    year, local = _fold(F.col("p_local"))
+    key = F.when(wall | (ok & F.col("p_name").isNotNull()), F.struct(F.col("p_zone").alias("z"), year.alias("y"), local.alias("t")))
+    # A generated column: the planner would else write out the whole parser for each key, time and again.
+    out = parsed.select("*", F.explode(F.array(key)).alias("_key"))
+    out = out.join(F.broadcast(spans), (F.col("_key.z") == F.col("_z")) & (F.col("_key.y") == F.col("_y")), "left")
+    hits = F.filter("spans", lambda x: (x["lo"] <= F.col("_key.t")) & (F.col("_key.t") < x["hi"]))
+    hits = F.array_distinct(F.transform(F.when(wall, hits).otherwise(F.filter(hits, lambda x: x["abbreviation"] == F.col("p_name"))), lambda x: x["offset_s"]))
+    out = out.withColumn("_hits", hits)
     n = F.size("_hits")
-    offset = F.coalesce(F.col("p_offset"), F.when(n == 1, F.get(F.col("_hits"), F.lit(0))["offset_s"]))
+    offset = F.coalesce(F.when(n == 1, F.get(F.col("_hits"), F.lit(0))), F.col("p_offset"))
     status = F.when(wall & F.col("spans").isNull(), "no_zone").when(wall & (n > 1), "ambiguous").when(wall & (n == 0), "nonexistent").otherwise(F.col("p_status"))
     return out.withColumns({"utc_us": F.when(status == "ok", F.col("p_local") - offset.cast("long") * US), "p_status": status}).drop("_z", "_y", "_key", "spans", "_hits")
 
@@ -214,7 +274,8 @@ def stamps(docs: DataFrame, fields: DataFrame, dbs: DataFrame) -> DataFrame:
 
 def normalise_stamps(docs: DataFrame, fields: DataFrame, dbs: DataFrame) -> DataFrame:
     """All stamps with ``utc_us`` and ``p_status``."""
-    return resolve(parse(stamps(docs, fields, dbs), "stamp", "date_order", "tz"))
+    every = stamps(docs, fields, dbs)
+    return resolve(parse(every, "stamp", "date_order", "tz"), zone_intervals(every.sparkSession, zones_in_use(every)))
 
 
 def found(docs: DataFrame, fields: DataFrame, dbs: DataFrame) -> DataFrame:

@@ -75,7 +75,7 @@ def list_items(toks: DataFrame) -> DataFrame:
 
 def images(toks: DataFrame) -> DataFrame:
     """Inline images numbered through a record in document order, through tables and sections."""
-    w = W.partitionBy("record_id").orderBy("field", "dewey")
+    w = W.partitionBy("record_id").orderBy("dewey")
     return toks.where("t = 'img'").withColumn("seq", F.row_number().over(w) - 1).select("record_id", "node_path", "alt", "seq")
 
 

@@ -82,7 +82,7 @@ def _(spark, base):
     return progress.retry_errors(table(spark, base, "progress_log"))
 
 
-@query("progress_drop_by_keyword", "SELECT line_no, db, unid, status FROM progress_log WHERE (db, unid) NOT IN (SELECT db, unid FROM progress_log WHERE contains(out_path, 'Archive'))")
+@query("progress_drop_by_keyword", "SELECT line_no, db, unid, status FROM progress_log p WHERE NOT EXISTS (SELECT 1 FROM progress_log q WHERE contains(q.out_path, 'Archive') AND upper(trim(q.unid)) = upper(trim(p.unid)))")
 def _(spark, base):
     return progress.drop_by_keyword(table(spark, base, "progress_log"), "Archive").select("line_no", "db", "unid", "status")
 
@@ -125,7 +125,7 @@ def _(spark, base):
 # Scans
 
 
-@query("manifest_views", "SELECT replica, title, (unnest(range(len(v)))) ::INT AS view_ord, unnest(v) AS view FROM (SELECT replica, title, CASE WHEN len(views) > 0 THEN views WHEN view_name IS NOT NULL THEN [view_name] ELSE ['($All)', 'All', 'All Documents', 'AllDocuments', '全ての文書', 'すべての文書'] END AS v FROM note_dbs WHERE title IS NOT NULL AND db_file IS NOT NULL)")
+@query("manifest_views", "SELECT replica, title, (unnest(range(len(v)))) ::INT AS view_ord, unnest(v) AS view FROM (SELECT replica, title, CASE WHEN len(views) > 0 THEN views WHEN view_name IS NOT NULL THEN [view_name] ELSE ['($All)', 'AllDocuments', 'All Documents', 'すべての文書', '全ての文書', 'すべてのドキュメント'] END AS v FROM note_dbs WHERE title IS NOT NULL AND db_file IS NOT NULL)")
 def _(spark, base):
     return scan.manifest(table(spark, base, "note_dbs"))
 
@@ -211,7 +211,7 @@ def _(spark, base):
 _PREVIEW = "(CASE WHEN length(p) > 200 THEN substr(p, 1, 200) || ' …' ELSE p END)"
 
 
-@query("appendix_rows", f"WITH {_ITEMS}, p AS (SELECT unid, replica, name, type, coalesce(array_to_string(value_list[1:5], ', ') || CASE WHEN len(value_list) > 5 THEN ' …' ELSE '' END, value, '') AS p FROM items WHERE name NOT IN ('Subject', 'Form', 'From', 'SendTo', 'PostedDate', 'Body')) SELECT unid, replica, name, type, {_PREVIEW} AS preview, row_number() OVER (PARTITION BY unid, replica ORDER BY lower(name), name)::INT AS pos FROM p")
+@query("appendix_rows", f"WITH {_ITEMS}, p AS (SELECT unid, replica, name, type, coalesce(array_to_string(value_list[1:5], ', ') || CASE WHEN len(value_list) > 5 THEN ' …' ELSE '' END, value, '') AS p FROM items WHERE name NOT IN ('Subject', 'From', 'To', 'CC', 'Body', 'Categories', 'Created', 'Modified')) SELECT unid, replica, name, type, {_PREVIEW} AS preview, row_number() OVER (PARTITION BY unid, replica ORDER BY lower(name), name)::INT AS pos FROM p")
 def _(spark, base):
     return fields.appendix(table(spark, base, "doc_fields"))
 
@@ -302,7 +302,12 @@ _PRETTY = "SELECT att_id, unid, type, " + _STRIP.format(_STEM.format("b"), "b",
 _PRETTY2 = "SELECT att_id, unid, CASE WHEN type = 'image' AND " + _SUFFIX.format("c") + " = '' THEN c || '.gif' ELSE c END AS pretty FROM (SELECT att_id, unid, type, " + _BARE.format("s") + " AS c FROM p)"
 
 
-@query("collision_names", f"WITH p AS ({_PRETTY}), q AS ({_PRETTY2}), n AS (SELECT *, row_number() OVER (PARTITION BY unid, pretty ORDER BY att_id) AS n FROM q) SELECT att_id, unid, pretty, CASE WHEN n = 1 THEN pretty ELSE " + _STEM.format("pretty") + " || '_' || n || " + _SUFFIX.format("pretty") + " END AS file_name FROM n")
+@query(
+    "collision_names",
+    f"WITH RECURSIVE p AS ({_PRETTY}), q AS ({_PRETTY2}), r AS (SELECT *, " + _STEM.format("pretty") + " AS st, " + _SUFFIX.format("pretty") + " AS ex, row_number() OVER (PARTITION BY unid ORDER BY att_id) AS n FROM q), "
+    "walk AS (SELECT att_id, unid, n, pretty, pretty AS file_name, [pretty] AS taken FROM r WHERE n = 1 UNION ALL SELECT att_id, unid, n, pretty, file_name, list_append(taken, file_name) FROM (SELECT r.att_id, r.unid, r.n, r.pretty, w.taken, CASE WHEN list_contains(w.taken, r.pretty) THEN list_filter(list_transform(range(2, r.n + 2), lambda k: r.st || '_' || k || r.ex), lambda x: NOT list_contains(w.taken, x))[1] ELSE r.pretty END AS file_name FROM walk w JOIN r ON w.unid IS NOT DISTINCT FROM r.unid AND r.n = w.n + 1)) "
+    "SELECT att_id, unid, pretty, file_name FROM walk",
+)
 def _(spark, base):
     return attachments.preferred_name(table(spark, base, "doc_attachments"))
 

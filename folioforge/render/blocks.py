@@ -8,9 +8,10 @@ from __future__ import annotations
 
 
 def _indent(margin) -> str:
-    text = str(margin or "")
+    """As ``functions.text.indent_class``: a margin without a unit is none."""
+    text = str(margin or "").strip()
     try:
-        inches = float(text[:-2]) / (72 if text.endswith("pt") else 1) if text.endswith(("in", "pt")) else float(text or 0)
+        inches = float(text[:-2]) / (72 if text.endswith("pt") else 1) if text.endswith(("in", "pt")) else 0.0
     except ValueError:
         return ""
     return "indent-3" if inches >= 1.75 else "indent-2" if inches >= 1.25 else "indent-1" if inches >= 0.75 else ""

@@ -32,7 +32,8 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Where ``spark.checkpoint.dir`` is unset (local tests) a temporary folder of this machine is used.
+    Where ``spark.checkpoint.dir`` is unset, a local session (tests) uses a temporary folder; any other raises, since a
+    folder of one machine doesn't survive it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     sc = spark.sparkContext
@@ -41,6 +42,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(shared)
         return shared
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no shared folder")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="folioforge-ckpt-"))
     return sc._jsc.sc().getCheckpointDir().get()
 

@@ -67,3 +67,42 @@ def test_lists_at_every_level_and_many_envelopes(spark):
         ("fields.Odd.runs[1]", "fields.Odd"), ("fields.Odd.runs[1].x[0][0].rows[0]", "fields.Odd.runs[1]"),
     }
     assert rows(spark, text, json.dumps(wrapped)) == {(i, *p) for i in (1, 2) for p in want}
+
+
+def test_depth_is_not_bounded(spark):
+    """100,000 lists in each other, 3,000 sections in each other, and the same in an envelope; the readers agree."""
+    n = 100_000
+    lists = '{"fields": {"A": {"value": ' + "[" * n + '{"runs": [{"t": "br"}]}' + "]" * n + "}}}"
+    sections = '{"fields": {"B": {"runs": [' + '{"t": "section", "body_runs": [' * 3000 + '{"t": "br"}' + "]}" * 3000 + "]}}}"
+    wrapped = '{"a": ' * 20_000 + lists + "}" * 20_000
+    got = rows(spark, lists, sections, wrapped, lists[:-1], "[" * n)
+    deep = {(i, len(a), b) for i, a, b in got if i in (1, 3)}
+    assert deep == {(i, *x) for i in (1, 3) for x in ((8, "$"), (8 + 6 + 3 * n + 8, "fields.A"))}
+    assert sum(i == 2 for i, *_ in got) == 3002 and not any(i in (4, 5) for i, *_ in got)
+
+
+def test_iterative_reader_and_writer():
+    texts = ['{"a": [1, -2.5e3, true, null, "x\\u00e9\\n"], "b": {}, "c": [], "a": 2}', " [ ] ", "3", '"x"', "[1,]", "[1 2]", '{"a" 1}', '{"a": 1,}', "{", "]", "", "[1] 2", "nul", "01", '{1: 2}', "[[{}], [{}, []]]"]
+    for text in texts:
+        try:
+            want = json.loads(text)
+        except ValueError:
+            want = ValueError
+        try:
+            got = nested._loads_deep(text)
+        except ValueError:
+            got = ValueError
+        assert got == want, text
+    deep = value = []
+    for _ in range(50_000):
+        value.append({"k": [1, "x"], "runs": []})
+        value[0]["v"] = value = []
+    text = nested.dumps(deep)
+    assert text == nested.dumps(nested.loads(text)) and text.startswith('[{"k": [1, "x"], "runs": [], "v": [')
+
+
+def test_envelopes_with_other_keys_and_unreadable_payloads(spark):
+    d = doc(fields={"A": {"value": "x"}})
+    df = spark.createDataFrame([(1, json.dumps({"n": 1, "meta": {"by": "x"}, "body": {"seq": 2, "doc": [{"kind": "note", "data": json.dumps(d)}]}})), (2, "{"), (3, None), (4, "[]"), (5, "{}")], "record_id long, payload string")
+    assert {tuple(r) for r in nested.found(df).collect()} == {(1, "fields.A", "$")}
+    assert {tuple(r) for r in nested.report(df).collect()} == {("fields", 1, 1, 1), (nested.UNREADABLE, 0, 3, 0)}

@@ -47,6 +47,7 @@ def test_brute_force_with_a_hot_key(spark):
     want = {("doc_attachments", i) for i, u, _, at, _ in atts if not max(((a, k) for a, k in events.get(u, []) if a <= at), default=(None, 0))[1]}
     assert find(spark, [], atts, docs, stubs) == want
     assert find(spark, [], atts, docs, stubs, part_rows=10, digits=1) == want
+    assert find(spark, [], atts, docs, stubs, part_rows=10, digits=1, most=2) == want
 
 
 def test_turns(spark):
@@ -56,7 +57,17 @@ def test_turns(spark):
     stubs = [(1, rep, key, t(20)), (2, rep, key, t(20)), (3, rep, key, t(60)), (4, None, key, t(5)), (5, rep, key, None)]
     got = {tuple(r) for r in R.events(spark.createDataFrame(docs, DOCS), spark.createDataFrame(stubs, STUBS)).select(F.substring("key", 1, 1), ((F.col("at") - 1704067200000000) / 3600000000).cast("int"), "alive").collect()}
     assert got == {("A", 0, 1), ("A", 60, 0), ("B", 0, 1)}
-    assert [R.range_digits(n) for n in (0, 10**6, 10**9, 10**12)] == [3, 3, 4, 5]
+    assert [R.range_digits(n) for n in (0, 10**6, 10**9, 10**12)] == [3, 3, 4, 6]
+
+
+def test_ranges_of_keys_with_one_beginning(spark):
+    keys = [f"{'A' * 20}{i:04X}{'0' * 24}" for i in range(64)] + [f"{i:048X}" for i in range(3)]
+    df = spark.createDataFrame([(k, 0, 1) for k in keys], "key string, at long, alive int")
+    full = R.deeper(df, 3, most=10)
+    assert [len(x[0]) for x in full] == list(range(3, 23, 2)) and all(len(x) == 1 for x in full)
+    named = df.withColumn("range", R.range_of(F.col("key"), 3, full))
+    sizes = {r["range"]: r["count"] for r in named.groupBy("range").count().collect()}
+    assert sum(sizes.values()) == 67 and max(sizes.values()) <= 16 and sizes["000"] == 3
 
 
 def test_report(spark):

@@ -36,11 +36,21 @@ CASES = [
     ("2022-03-13 04:37[America/New_York]", "dmy", "Europe/Rome", utc(2022, 3, 13, 8, 37)),
     ("2022-01-13 04:37 America/Los_Angeles", "dmy", "Europe/Rome", utc(2022, 1, 13, 12, 37)),
     (" 2022-11-19T06:07:40+01:00\n", "dmy", "Europe/Rome", utc(2022, 11, 19, 5, 7, 40)),
+    ("1850-06-01 12:00", "dmy", "Europe/Berlin", utc(1850, 6, 1, 11, 6, 32)),
+    ("1791-06-01 12:00", "dmy", "Europe/Berlin", utc(1791, 6, 1, 11, 6, 32)),
+    ("2450-07-01 12:00", "dmy", "Europe/Berlin", utc(2450, 7, 1, 10)),
+    ("9999-12-31 23:00", "dmy", "America/New_York", utc(9999, 12, 31, 23) + 5 * 3600 * 1_000_000),
+    ("2022-01-13 04:37 europe/berlin", "dmy", "UTC", utc(2022, 1, 13, 3, 37)),
+    ("2022-01-13 04:37", "dmy", "europe/BERLIN", utc(2022, 1, 13, 3, 37)),
+    ("2022-01-13 04:37 CST", "dmy", "Asia/Shanghai", utc(2022, 1, 12, 20, 37)),
+    ("2022-01-13 04:37 CST", "dmy", "Europe/Berlin", utc(2022, 1, 13, 10, 37)),
+    ("2022-01-13T24:00:00", "dmy", "UTC", utc(2022, 1, 14)),
+    ("230970656", None, None, 230970656000000),
 ]
 NONE = [
     ("2023-10-29 02:30:00", "Europe/Berlin", "ambiguous"), ("2023-03-26 02:30:00", "Europe/Berlin", "nonexistent"), ("2024-10-27T02:31:35[Europe/Amsterdam]", "Europe/Amsterdam", "ambiguous"),
     ("2024-02-30 10:11:12", "UTC", "impossible"), ("20231345T101112,00+01", "UTC", "impossible"), ("0000-00-00T00:00:00", "UTC", "impossible"), ("2023-09-29", "UTC", "unreadable"),
-    ("20240607", "UTC", "unreadable"), ("n/a", "UTC", "unreadable"), ("", "UTC", "missing"), (None, "UTC", "missing"), ("2023-01-01 10:00", None, "no_zone"), ("13:00 PM", "UTC", "unreadable"),
+    ("20240607", "UTC", "unreadable"), ("n/a", "UTC", "unreadable"), ("", "UTC", "missing"), (None, "UTC", "missing"), ("2023-01-01 10:00", None, "no_zone"), ("2023-01-01 10:00", "Europe/Nowhere", "no_zone"), ("2450-03-27 02:30", "Europe/Berlin", "nonexistent"), ("2450-10-30 02:30", "Europe/Berlin", "ambiguous"), ("2022-01-13T24:00:01", "UTC", "impossible"), ("202201131200", "UTC", "unreadable"), ("13:00 PM", "UTC", "unreadable"),
 ]
 
 
