@@ -5,7 +5,7 @@ Keys (replica, unid) are brought to one spelling and cut into ranges of neighbou
 parents of a range into one sorted array and probes the references that follow in vectorised batches by binary search.
 An entry of the array is key + time, so one search finds the last event of a key up to a time.
 
-A range is named by the leading digits of its keys: as many as the number of parents asks for, and two more wherever the
+A range is named by the leading digits of its keys: as many as the number of parents asks for, and more wherever the
 parents under a beginning are counted to be too many for one array, until none is. A range that draws many references is
 split by a salt, as many ways as its measured count asks for; its parents go to every part. Parents are reduced to the
 turns of their state, first per key and day and then per key, before they are shuffled to their ranges, so a note that
@@ -19,6 +19,7 @@ deletion, then delivery; repeated references are reported each under its own id.
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Least hexadecimal digits of the unid that name a range, and those of a whole key.
-RANGE_DIGITS, KEY_DIGITS = 3, 48
+#: Least hexadecimal digits of the unid that name a range.
+RANGE_DIGITS = 3
 #: Parents (turns) that a range is meant to hold, and those beyond which it is cut further.
 RANGE_PARENTS, MOST_PARENTS = 100_000, 400_000
 #: References that one part of a range takes before the range is split.
@@ -85,28 +86,33 @@ def range_digits(parents: int) -> int:
     return max(RANGE_DIGITS, math.ceil(math.log(max(1.0, parents / RANGE_PARENTS), 16)))
 
 
-def deeper(parents: DataFrame, digits: int, most: int = MOST_PARENTS) -> list[list[str]]:
-    """Beginnings that are too full for one array, by rounds: of ``digits`` digits, of two more, and so on.
+def deeper(parents: DataFrame, digits: int, most: int = MOST_PARENTS) -> list[dict[str, int]]:
+    """Beginnings that are too full for one array and the digits that their keys are named by instead, by rounds.
 
-    Each round counts below the full beginnings of the one before; at most parents / most of them reach the driver.
+    A full beginning is cut two digits after its keys begin to differ; the next round counts what comes of it. At most
+    parents / most rows of a round reach the driver. The turns of a single key are never cut.
     """
-    out: list[list[str]] = []
-    while digits < KEY_DIGITS:
-        own = parents if not out else parents.where(F.substring("key", 1, digits - 2).isin(out[-1]))
-        full = [r["p"] for r in own.groupBy(F.substring("key", 1, digits).alias("p")).count().where(F.col("count") > most).collect()]
+    rounds: list[dict[str, int]] = []
+    own = parents.select("key", F.substring("key", 1, digits).alias("p"))
+    while True:
+        counted = own.groupBy("p").agg(F.count("*").alias("n"), F.min("key").alias("a"), F.max("key").alias("b"))
+        full = {r["p"]: len(os.path.commonprefix([r["a"], r["b"]])) + 2 for r in counted.where((F.col("n") > most) & (F.col("a") < F.col("b"))).collect()}
         if not full:
-            break
-        out.append(sorted(full))
-        digits += 2
-    return out
+            return rounds
+        rounds.append(full)
+        own = _renamed(own.where(F.col("p").isin(list(full))), "p", full)
+
+
+def _renamed(df: DataFrame, column: str, full: dict[str, int]) -> DataFrame:
+    digits = F.try_element_at(F.create_map(*[F.lit(x) for pair in full.items() for x in pair]), F.col(column))
+    return df.withColumn(column, F.when(digits.isNotNull(), F.substr("key", F.lit(1), digits)).otherwise(F.col(column)))
 
 
-def range_of(key: Column, digits: int, full: list[list[str]]) -> Column:
-    """The beginning of a key that names its range."""
-    out = F.substring(key, 1, digits + 2 * len(full))
-    for k in range(len(full) - 1, -1, -1):
-        part = F.substring(key, 1, digits + 2 * k)
-        out = F.when(part.isin(full[k]), out).otherwise(part)
+def ranged(df: DataFrame, digits: int, rounds: list[dict[str, int]]) -> DataFrame:
+    """With ``range``, the beginning of the key that names its range."""
+    out = df.withColumn("range", F.substring("key", 1, digits))
+    for full in rounds:
+        out = _renamed(out, "range", full)
     return out
 
 
@@ -179,16 +185,16 @@ def orphans(refs: DataFrame, parents: DataFrame, digits: int | None = None, part
     spark = refs.sparkSession
     parents = checkpoint(parents)  # counted and read again
     digits = range_digits(parents.count()) if digits is None else digits
-    full = deeper(parents, digits, most)
+    rounds = deeper(parents, digits, most)
     # Keys that name nothing go through as misses, spread by their id.
-    first = F.coalesce(range_of(F.col("key"), digits, full), F.concat(F.lit("-"), F.pmod(F.xxhash64("ref_id"), F.lit(64)).cast("string")))
-    keyed = refs.withColumn("range", first)
+    keyed = ranged(refs, digits, rounds)
+    keyed = keyed.withColumn("range", F.coalesce("range", F.concat(F.lit("-"), F.pmod(F.xxhash64("ref_id"), F.lit(64)).cast("string"))))
     # One row per range: their number follows the number of parents, some tens of bytes for ``RANGE_PARENTS`` of them.
     parts = keyed.groupBy("range").agg(F.greatest(F.ceil(F.count("*") / part_rows), F.lit(1)).cast("int").alias("parts"))
     own = keyed.join(F.broadcast(parts), "range")
     none = lambda kind: F.lit(None).cast(kind)
     salted = own.select(F.concat_ws("/", "range", F.pmod(F.xxhash64("ref_table", "ref_id"), F.col("parts")).cast("string")).alias("part"), F.coalesce("key", F.lit("")).alias("key"), "at", none("int").alias("alive"), "ref_table", F.col("ref_id").cast("long").alias("ref_id"), F.unix_micros("seen_at").alias("seen_us"))
-    spread = parents.withColumn("range", range_of(F.col("key"), digits, full)).join(F.broadcast(parts), "range")
+    spread = ranged(parents, digits, rounds).join(F.broadcast(parts), "range")
     spread = spread.select(F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("s"), "range", "key", "at", "alive")
     spread = spread.select(F.concat_ws("/", "range", F.col("s").cast("string")).alias("part"), "key", "at", "alive", none("string").alias("ref_table"), none("long").alias("ref_id"), none("long").alias("seen_us"))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -63,11 +63,10 @@ def test_turns(spark):
 def test_ranges_of_keys_with_one_beginning(spark):
     keys = [f"{'A' * 20}{i:04X}{'0' * 24}" for i in range(64)] + [f"{i:048X}" for i in range(3)]
     df = spark.createDataFrame([(k, 0, 1) for k in keys], "key string, at long, alive int")
-    full = R.deeper(df, 3, most=10)
-    assert [len(x[0]) for x in full] == list(range(3, 23, 2)) and all(len(x) == 1 for x in full)
-    named = df.withColumn("range", R.range_of(F.col("key"), 3, full))
-    sizes = {r["range"]: r["count"] for r in named.groupBy("range").count().collect()}
-    assert sum(sizes.values()) == 67 and max(sizes.values()) <= 16 and sizes["000"] == 3
+    rounds = R.deeper(df, 3, most=10)
+    assert rounds == [{"AAA": 24}]
+    sizes = {r["range"]: r["count"] for r in R.ranged(df, 3, rounds).groupBy("range").count().collect()}
+    assert sum(sizes.values()) == 67 and max(sizes.values()) <= 10 and sizes["000"] == 3
 
 
 def test_report(spark):
