@@ -7,7 +7,8 @@ original of the table where there is only one.
 
 Words are cut at ASCII characters other than letters. Besides whole words, their runs of non-ASCII characters count
 as words, and since Japanese has no spaces, pairs of neighbouring characters do; their garbled forms are compared by
-windows of ``WINDOW`` characters. Longer words without kana or kanji are compared by overlapping pieces.
+windows of ``WINDOW`` characters. Words of more than two ``PIECE`` characters without kana or kanji are compared by
+overlapping pieces as well, at any length.
 
 Clean words come from the reference corpus (documents, name directory) and from those words of the examined texts
 that consist of characters the reference corpus uses, Latin letters, kana, or kanji of the first JIS level. A garbled form counts
@@ -16,8 +17,8 @@ or a character of neither kind, or decodes strictly back to the word from UTF-8.
 word and the encodings garble either way, that of the two is clean which far more distinct texts hold; copies of a text
 don't count, but for a tie.
 
-Sizes: the character repertoire is bounded by Unicode. Matched tokens are broadcast while there are at most
-``BROADCAST_TOKENS`` of them and joined by shuffle otherwise.
+Sizes: the character repertoire is bounded by Unicode. Tokens are broadcast while they take at most
+``BROADCAST_BYTES`` as counted and joined by shuffle otherwise.
 
 Defined results: null and empty texts and ASCII texts are no case; a row is reported once however many of its texts
 are affected; text that was garbled with loss is found and, where no single original fits, left as it is
@@ -41,7 +42,11 @@ WINDOW = 4
 #: Pieces of long words begin at every character; their forms are compared by so many characters. Decoding may halve
 #: the number of characters, so a piece has up to twice as many.
 PIECE = 12
-BROADCAST_TOKENS = 200_000
+#: Characters of a word that is compared as a whole.
+WHOLE = 40
+#: Characters of the longest token with kana or kanji that a word of less than a piece can become: nine for each.
+LONGEST = 9 * PIECE
+BROADCAST_BYTES = 32 << 20
 #: A character is in use if at least so many documents of the reference corpus hold it.
 MIN_DOCUMENTS = 2
 #: Of a form and its original that may each be the clean one, that in so many times as many distinct texts is.
@@ -156,19 +161,25 @@ def odd_pattern(used: set[str]) -> re.Pattern:
 def parts(w: str) -> set[str]:
     """What a word with a non-ASCII character gives: itself, its non-ASCII runs, neighbouring characters of Japanese.
 
-    A long word without Japanese gives its pieces with a non-ASCII character instead of itself.
+    A word of more than two pieces without Japanese gives its pieces with a non-ASCII character, beyond ``WHOLE``
+    characters instead of itself; what stands between Japanese is a word of its own.
     """
     out: set[str] = set()
-    if len(w) <= (40 if not _KANA.search(w) else 12):
-        out.add(w)
-    elif not _KANA.search(w):
-        out.update([w[i : i + 2 * PIECE] for i in range(len(w) - PIECE + 1) if not w[i : i + PIECE].isascii()])
-    for run in _RUN.findall(w):
-        if len(run) <= 12:
-            out.add(run)
-        if len(run) > 1 and _KANA.search(run):
-            out.update([p for p in map("".join, zip(run, run[1:], strict=False)) if _KANA.match(p)])
-    out.update([p for p in _BLANK.split(w) if p and p != w and len(p) <= 40 and not p.isascii()])
+    words = [w, *(p for p in _BLANK.split(w) if p != w)]
+    if _KANA.search(w):
+        words += _NARROW.findall(w)
+        for run in _RUN.findall(w):
+            if len(run) > 1:
+                out.update([p for p in map("".join, zip(run, run[1:], strict=False)) if _KANA.match(p)])
+    for own in words:
+        if not own or own.isascii():
+            continue
+        japanese = _KANA.search(own) is not None
+        if len(own) <= (12 if japanese else WHOLE):  # longer Japanese is all in the pairs
+            out.add(own)
+        if not japanese and len(own) > 2 * PIECE:
+            out.update([own[i : i + 2 * PIECE] for i in range(len(own) - PIECE + 1) if not own[i : i + PIECE].isascii()])
+        out.update([r for r in _RUN.findall(own) if len(r) <= 12 or (len(r) <= WHOLE and not _KANA.search(r))])
     return out
 
 
@@ -199,14 +210,15 @@ def tokens(text: str, odd_: re.Pattern) -> set[str]:
     out: set[str] = set()
     for w in _WORD.findall(text):
         if not w.isascii():
-            if len(w) <= 120:
+            # Longer ones with kana or kanji are clean Japanese, or forms that windows and pieces find.
+            if len(w) <= LONGEST or not _KANA.search(w):
                 out.add(w)
-            out.update([r for r in _RUN.findall(w) if len(r) <= 36])
+            out.update([r for r in _RUN.findall(w) if len(r) <= LONGEST or not _KANA.search(r)])
     if plain:
         return {t for t in out if from_utf8(t)}
     last = len(text) - WINDOW
     for m in _WORD.finditer(text) if at else ():
-        if m.end() - m.start() > 20:  # half the length of what goes by pieces
+        if m.end() - m.start() > PIECE:  # half the length of what goes by pieces
             inside = at[bisect_left(at, m.start()) : bisect_left(at, m.end())]
             out.update([text[i : i + PIECE] for i in {k for j in inside for k in range(max(m.start(), j - PIECE + 1), min(j, m.end() - PIECE) + 1)}])
     out.update([text[i : i + WINDOW] for i in {k for j in at for k in range(max(0, j - WINDOW + 1), min(j, last) + 1)}])
@@ -344,14 +356,19 @@ def beginning(names: Iterable[str]) -> re.Pattern | None:
     return re.compile("|".join(both)) if both else None
 
 
+def bytes_of(df: DataFrame, *columns: str) -> int:
+    """What so many rows take, overhead included."""
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns), F.lit(100))
+    return df.agg(F.sum(size.cast("long")).alias("n")).first()["n"] or 0
+
+
 def distinct_texts(every: DataFrame, names: DataFrame, used: set[str]) -> DataFrame:
     """name, texts: how many distinct texts hold each of the names (tokens or clean words), exact up to its ``most``.
 
     A task reports at most so many texts of a name, and seeks a name no longer that it has reported so often.
     """
-    head = names.limit(BROADCAST_TOKENS + 1).collect()
-    few = len(head) <= BROADCAST_TOKENS
-    shared = every.sparkSession.sparkContext.broadcast({r["name"]: r["most"] for r in head} if few else None)
+    few = bytes_of(names, "name") <= BROADCAST_BYTES
+    shared = every.sparkSession.sparkContext.broadcast({r["name"]: r["most"] for r in names.collect()} if few else None)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, odd_ = dict(shared.value) if few else {}, odd_pattern(used)
@@ -382,16 +399,16 @@ def distinct_texts(every: DataFrame, names: DataFrame, used: set[str]) -> DataFr
 
 
 def matched_tokens(examined: DataFrame, corpus: DataFrame, clean: DataFrame, used: set[str]) -> DataFrame:
-    """token, original, chain, originals (how many): hash join of the distinct tokens of the texts with the garbled forms.
+    """token, original, chain, originals (1, or 2 for more): hash join of the distinct tokens of the texts with the garbled forms.
 
-    The tokens are the smaller side; they are broadcast if a count shows that there are few. Of a contested form and
+    The tokens are the smaller side; they are broadcast if they are measured to be few. Of a contested form and
     its original, the one in far more distinct texts is clean; where as many hold either, the one in far more rows.
     """
     from folioforge.session import checkpoint
 
     own = checkpoint(counted_tokens(examined, used))
     clean = checkpoint(clean)
-    few = own.limit(BROADCAST_TOKENS + 1).count() <= BROADCAST_TOKENS
+    few = bytes_of(own, "token") <= BROADCAST_BYTES
     hit = garbled_forms(clean, used).join(F.broadcast(own) if few else own, "token")
     hit = checkpoint(hit.select("token", "original", "chain", "contested", "times", (F.col("times") > F.col("n") * FREQUENT).alias("rows")))
     pairs = hit.where("contested")
@@ -404,20 +421,21 @@ def matched_tokens(examined: DataFrame, corpus: DataFrame, clean: DataFrame, use
         pairs = pairs.join(as_("token", "a"), "token").join(as_("original", "b"), "original")
         pairs = pairs.where(~((F.col("a") > F.col("b") * FREQUENT) | ((F.col("a") == F.col("b")) & F.col("rows")))).select(hit.columns)
         hit = hit.where("not contested").union(pairs)
-    table = hit.groupBy("token").agg(F.min(F.struct("chain", "original")).alias("m"), F.approx_count_distinct("original").alias("originals"))
+    table = hit.groupBy("token").agg(F.min(F.struct("chain", "original")).alias("m"), F.when(F.min("original") == F.max("original"), 1).otherwise(2).cast("long").alias("originals"))
     trusted = clean.where("trusted").select(F.col("word").alias("token"))
     return table.join(trusted, "token", "left_anti").select("token", "m.original", "m.chain", "originals")
 
 
-def affected(examined: DataFrame, corpus: DataFrame) -> DataFrame:
+def affected(examined: DataFrame, corpus: DataFrame, used: set[str] | None = None) -> DataFrame:
     """src_table, row_id, slot, text, hits (token, original, chain, originals) of the affected texts."""
+    from folioforge.session import checkpoint
+
     spark = examined.sparkSession
-    used = repertoire(corpus)
-    matched = matched_tokens(examined, corpus, clean_words(corpus, examined, used), used)
-    head = matched.limit(BROADCAST_TOKENS + 1).collect()
+    used = repertoire(corpus) if used is None else used
+    matched = checkpoint(matched_tokens(examined, corpus, clean_words(corpus, examined, used), used))
     out = "src_table string, row_id long, slot string, text string, hits array<struct<token:string,original:string,chain:string,originals:long>>"
-    if len(head) <= BROADCAST_TOKENS:
-        shared = spark.sparkContext.broadcast({r["token"]: (r["token"], r["original"], r["chain"], r["originals"]) for r in head})
+    if bytes_of(matched, "token", "original", "chain") <= BROADCAST_BYTES:
+        shared = spark.sparkContext.broadcast({r["token"]: (r["token"], r["original"], r["chain"], r["originals"]) for r in matched.collect()})
 
         def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             known = shared.value
@@ -442,7 +460,8 @@ def affected(examined: DataFrame, corpus: DataFrame) -> DataFrame:
 
 def mend(text: str, hits: list[tuple[str, str, str, int]], used: set[str]) -> str:
     """The text with its garbled parts put back as far as they can be."""
-    chains = sorted({CHAIN_OF[h[2]] for h in hits}, key=lambda c: (-len(c), name_of(c)))
+    # The same bytes may be UTF-8 and Japanese; UTF-8 asks for more, so it comes first.
+    chains = sorted({CHAIN_OF[h[2]] for h in hits}, key=lambda c: (c[0][0] != "utf-8", -len(c), name_of(c)))
     # A token may come out of several chains, of which the table keeps one; those from UTF-8 can be told by decoding.
     chains += [c for c in CHAINS if c[0][0] == "utf-8" and c[0][1] in _SINGLE and c not in chains]
     single = {h[0]: h[1] for h in hits if h[3] == 1}
@@ -480,7 +499,7 @@ def restore(examined: DataFrame, corpus: DataFrame) -> DataFrame:
             done = [m != t and "�" not in m and not any(h[0] in m for h in hs) for m, t, hs in zip(mended, pdf["text"], hits, strict=True)]
             yield pdf.assign(mended=mended, restored=done, chains=[", ".join(sorted({h[2] for h in hs})) for hs in hits])[["src_table", "row_id", "slot", "text", "mended", "restored", "chains"]]
 
-    return affected(examined, corpus).mapInPandas(run, "src_table string, row_id long, slot string, text string, mended string, restored boolean, chains string")
+    return affected(examined, corpus, used).mapInPandas(run, "src_table string, row_id long, slot string, text string, mended string, restored boolean, chains string")
 
 
 def corpus_of(documents: DataFrame, people: DataFrame) -> DataFrame:

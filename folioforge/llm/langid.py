@@ -3,22 +3,26 @@
 One interpolated Kneser-Ney model of order ``ORDER`` per language is trained on a bounded sample of labelled
 sentences. All models live in one set of sorted hash arrays: of every n-gram the hash, and beside it a row with the
 discounted probability mass and the back-off mass in each language, found by binary search. A sentence gets the
-language of the lowest cross-entropy per character; its confidence is the softmax of the code lengths, and it is
+language of the lowest cross-entropy per character; its confidence is the softmax of the code lengths at a temperature
+fitted on held-out sentences, times the share of held-out sentences given to that language that are of it. It is
 rejected where the cross-entropy lies beyond what held-out sentences of that language show (the calibrated bound) or
 the lead over the second is too small.
 
-Training sample: of every label at most ``TRAIN_SENTENCES`` distinct sentences (digits as 0), half of them the most
-frequent and half chosen by hash, each under the label that most of its documents bear, which outvotes wrong labels.
-Sentences of fewer than ``TRUSTED`` documents or of disputed label are left out of the final models if a model made
-without them puts them into another language.
-The models are some MB whatever the corpus and are broadcast.
+Training sample: of every label about ``SAMPLE_DOCUMENTS`` documents, chosen by a hash of their id before any text is
+cut, and of their distinct sentences (digits as 0, at most ``SAMPLE_CHARACTERS`` characters) ``TRAIN_SENTENCES``, half
+of them the most frequent and half chosen by hash, each under the label that most of its documents bear, which outvotes
+wrong labels. Sentences of fewer than ``TRUSTED`` documents or of disputed label are left out of the final models if a
+model made without them puts them into another language. Where some language has ``SURE_SENTENCES`` sentences of certain
+label, languages without them aren't learned: a code that only wrong labels bear makes no language. The sample is
+bounded whatever the corpus, its sentences are all that is shuffled, and the models are some MB and are broadcast.
 
 Every document is classified whole. Log lines, table rows, paths and signatures are no text; quote marks at line
 starts are dropped and wrapped lines joined.
 
 Defined results: null and empty texts have no language and are no case; a text without one whole sentence is judged as
 one segment; segments that are rejected count for no language; repeated documents count each under their own id;
-without any labelled sentence nothing can be learned, and every text has no language.
+without any labelled sentence nothing can be learned, and every text has no language; in a text with whole sentences, a
+fragment of less than ``SHORT`` characters that is none is a name or a heading and has no language.
 """
 
 from __future__ import annotations
@@ -31,20 +35,36 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 ORDER = 5
 TRAIN_SENTENCES = 3000
-LANGUAGES = ("de", "en", "es", "fr", "it", "ja", "nl", "pt")
+#: Documents of a label that the sample is drawn from, and the length of sentences in it.
+SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 1500, 400
+#: Sentences of certain label that a language needs, where any language has as many.
+SURE_SENTENCES = 20
+#: Characters of a fragment that is judged beside whole sentences.
+SHORT = 25
 #: Documents with one label, and their share, that make a sentence's label certain.
 TRUSTED, TRUSTED_SHARE = 4, 0.6
 #: Least lead over the second language, in nats per character and in nats in all.
 LEAD, LEAD_ALL = 0.05, 4.0
 #: Share of held-out sentences of the language that the calibrated bound keeps, and of the other languages that it may keep.
 KEEP, PASS = 0.999, 0.2
+#: Temperatures that are tried; none sharpens.
+TEMPERATURES = (1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0, 12.0, 16.0, 24.0, 32.0)
 #: Letters and words of a whole sentence.
 SENTENCE_LETTERS, SENTENCE_WORDS, SPACELESS_LETTERS = 16, 4, 9
 
+# Two-letter codes of languages.
+CODES = (
+    "aa ab ae af ak am an ar as av ay az ba be bg bh bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en eo es et eu fa ff fi fj fo fr fy ga gd gl "
+    "gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik io is it iu ja jv ka kg ki kj kk kl km kn ko kr ks ku kv kw ky la lb lg li ln lo lt lu lv mg mh mi mk "
+    "ml mn mr ms mt my na nb nd ne ng nl nn no nr nv ny oc oj om or os pa pi pl ps pt qu rm rn ro ru rw sa sc sd se sg si sk sl sm sn so sq sr ss st su sv sw ta "
+    "te tg th ti tk tl tn to tr ts tt tw ty ug uk ur uz ve vi vo wa wo xh yi yo za zh zu"
+)
+
 # Names of the languages as labels spell them, besides codes with or without a region.
 NAMES = {
     "de": "german deutsch deu ger allemand alemán tedesco duits alemão ドイツ語", "en": "english englisch eng anglais inglés inglese engels inglês 英語",
@@ -66,7 +86,7 @@ _CLEAN = "".join(map(chr, (*range(0x200B, 0x2010), *range(0x202A, 0x202F), *rang
 def canonical(label: Column) -> Column:
     """Two-letter code of a label, or null if it is missing or names no language."""
     bare = F.lower(F.trim(F.regexp_replace(label, r"[\s ]+", " ")))
-    known = {n: code for code, names in NAMES.items() for n in (code, *names.split())}
+    known = {c: c for c in CODES.split()} | {n: code for code, names in NAMES.items() for n in (code, *names.split())}
     table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
     return F.coalesce(F.element_at(table, bare), F.element_at(table, F.regexp_extract(bare, r"^([a-z]{2,3})[-_]", 1)))
 
@@ -155,7 +175,7 @@ class Models:
     def __init__(self, sample: dict[str, list[str]]):
         self.languages = sorted(sample)
         n = len(self.languages)
-        self.bound = np.full(n, np.inf)
+        self.bound, self.temperature, self.precision = np.full(n, np.inf), 1.0, np.ones(n)
         if not n:
             return
         per = [self._count(sample[lang]) for lang in self.languages]
@@ -238,7 +258,7 @@ class Models:
         own = h[rows, best]
         second = np.where(np.arange(h.shape[1])[None, :] == best[:, None], np.inf, h).min(1) if h.shape[1] > 1 else np.full(len(texts), np.inf)
         lead = second - own
-        sure = 1 / np.exp(np.maximum(-(h - own[:, None]) * size[:, None], -700)).sum(1)
+        sure = self.precision[best] / np.exp(np.maximum(-(h - own[:, None]) * size[:, None] / self.temperature, -700)).sum(1)
         kept = (own <= self.bound[best]) & (lead >= LEAD) & (lead * size >= LEAD_ALL)
         return [(self.languages[b] if k else None, float(x)) for b, k, x in zip(best, kept, sure, strict=True)]
 
@@ -249,9 +269,33 @@ class Models:
             other = self.entropies([t for k, v in held.items() if k != lang for t in v])[:, j]
             if len(own) >= 20 and len(other) >= 20:
                 self.bound[j] = max(np.quantile(own, KEEP) * 1.25, np.quantile(other, PASS))
+        texts = [(t, j) for j, lang in enumerate(self.languages) for t in held.get(lang, [])]
+        h, size, true = self.entropies([t for t, _ in texts]), np.array([len(t) for t, _ in texts]), np.array([j for _, j in texts])
+        given = h.argmin(1)
+        for j in range(len(self.languages)):
+            self.precision[j] = (((given == j) & (true == j)).sum() + 1) / ((given == j).sum() + 1 + 1 / len(self.languages))
+        if len(texts) < 20:
+            return
+        bits = -(h - h.min(1, keepdims=True)) * size[:, None]
+
+        def loss(temperature: float) -> float:
+            return float((np.log(np.exp(np.maximum(bits / temperature, -700)).sum(1)) - bits[np.arange(len(true)), true] / temperature).mean())
+
+        self.temperature = min(TEMPERATURES, key=loss)
 
 
-def _labelled(documents: DataFrame) -> DataFrame:
+def _sampled(documents: DataFrame, per_label: int) -> DataFrame:
+    """code and text of about so many documents of each label, by a hash of their id; only their labels are counted."""
+    own = documents.select(canonical(F.col("lang")).alias("code"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    counts = {r["code"]: r["count"] for r in own.where(F.col("code").isNotNull() & F.col("text").isNotNull()).groupBy("code").count().collect()}
+    if not counts:
+        return own.where(F.lit(False)).select("code", "text")
+    share = F.create_map(*[F.lit(x) for code, n in counts.items() for x in (code, min(1.0, per_label / n))])
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1_000_000)) < F.try_element_at(share, F.col("code")) * 1_000_000
+    return own.where(drawn & F.col("text").isNotNull()).select("code", "text")
+
+
+def _labelled(sample: DataFrame) -> DataFrame:
     """code, sentence, n, share: distinct sentences under their most frequent label."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -259,33 +303,34 @@ def _labelled(documents: DataFrame) -> DataFrame:
             counts: dict[tuple[str, str], int] = {}
             bare: dict[str, str] = {}
             for lang, text in zip(pdf["code"], pdf["text"], strict=True):
-                own = {x for x, _, whole in sentences(text) if whole and len(x) <= 500}
+                own = {x for x, _, whole in sentences(text) if whole}
                 for s in {bare.get(x) or bare.setdefault(x, plain(x)) for x in own}:
-                    if len(s) <= 400:
+                    if len(s) <= SAMPLE_CHARACTERS:
                         counts[lang, s] = counts.get((lang, s), 0) + 1
             yield pd.DataFrame([(a, b, n) for (a, b), n in counts.items()], columns=["code", "sentence", "n"])
 
-    own = documents.select(canonical(F.col("lang")).alias("code"), F.col("text").cast("string").alias("text")).where(F.col("code").isNotNull() & F.col("text").isNotNull())
-    each = own.mapInPandas(run, "code string, sentence string, n long").groupBy("sentence", "code").agg(F.sum("n").alias("n"))
+    each = sample.mapInPandas(run, "code string, sentence string, n long").groupBy("sentence", "code").agg(F.sum("n").alias("n"))
     best = each.groupBy("sentence").agg(F.max(F.struct("n", "code")).alias("m"), F.sum("n").alias("all"))
     return best.select(F.col("m.code").alias("code"), "sentence", F.col("m.n").alias("n"), (F.col("m.n") / F.col("all")).alias("share"))
 
 
-def train(documents: DataFrame, per_language: int = TRAIN_SENTENCES) -> Models:
+def train(documents: DataFrame, per_language: int = TRAIN_SENTENCES, per_label: int = SAMPLE_DOCUMENTS) -> Models:
     """Models from a bounded sample of the labelled documents."""
-    from folioforge.session import checkpoint
-
-    known = checkpoint(_labelled(documents))
-    counts = {r["code"]: r["count"] for r in known.groupBy("code").count().collect()}
+    known = _labelled(_sampled(documents, per_label))
     half = per_language // 2
+    mark = F.xxhash64("sentence")
+    often = F.row_number().over(W.partitionBy("code").orderBy(F.desc("n"), mark, "sentence"))
+    drawn = F.row_number().over(W.partitionBy("code").orderBy(mark, "sentence"))
+    # The windows are over the sample, whose size doesn't follow the corpus; per_language rows of a language are collected.
+    rows = known.withColumns({"often": often, "drawn": drawn}).where((F.col("often") <= half) | (F.col("drawn") <= half)).orderBy("code", "often").collect()
+    picked_: dict[str, dict[str, bool]] = {}
+    for r in rows:
+        picked_.setdefault(r["code"], {})[r["sentence"]] = r["n"] >= TRUSTED and r["share"] >= TRUSTED_SHARE
+    if any(sum(p.values()) >= SURE_SENTENCES for p in picked_.values()):
+        picked_ = {k: p for k, p in picked_.items() if sum(p.values()) >= SURE_SENTENCES}
     sure: dict[str, list[str]] = {}
     rare: list[dict[str, list[str]]] = [{}, {}]
-    for lang, n in sorted(counts.items()):  # at most as many as there are languages
-        own = known.where(F.col("code") == lang)
-        mark = F.xxhash64("sentence")
-        often = own.orderBy(F.desc("n"), mark).limit(half)
-        drawn = own.where(F.pmod(mark, F.lit(1_000_000)) < 1_300_000 * half / n).orderBy(mark).limit(half)
-        picked = {r["sentence"]: r["n"] >= TRUSTED and r["share"] >= TRUSTED_SHARE for part in (often, drawn) for r in part.collect()}
+    for lang, picked in sorted(picked_.items()):
         sure[lang] = [s for s, x in picked.items() if x]
         for i in (0, 1):
             rare[i][lang] = [s for s, x in picked.items() if not x][i::2]
@@ -301,7 +346,7 @@ def train(documents: DataFrame, per_language: int = TRAIN_SENTENCES) -> Models:
     trial = Models({k: (v[::2] + kept[0][k]) or rare[0][k] for k, v in sure.items()})
     trial.calibrate({k: v[1::2] + kept[1][k] for k, v in sure.items()})
     final = Models({k: (v + kept[0][k] + kept[1][k]) or rare[0][k] for k, v in sure.items()})
-    final.bound = trial.bound
+    final.bound, final.temperature, final.precision = trial.bound, trial.temperature, trial.precision
     return final
 
 
@@ -321,7 +366,7 @@ def segments(documents: DataFrame, models: Models) -> DataFrame:
             known = {x: judged_[y] for x, y in bare.items()}
             out = []
             for doc, label, parts in zip(pdf["doc_id"], pdf["label"], split, strict=True):
-                short = lambda x, whole: not whole and len(x) < 25 and len(parts) > 1  # noqa: E731, B023
+                short = lambda x, whole: not whole and len(x) < SHORT and len(parts) > 1  # noqa: E731, B023
                 judged = [(*((None, 0.0) if short(x, whole) else known[x]), at, len(x), whole) for x, at, whole in parts]
                 size: dict[str, int] = {}
                 for lang, _, _, n, _ in judged:

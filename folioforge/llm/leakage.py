@@ -11,8 +11,8 @@ no test item has can't be part of a match, so it ends a run, and runs too short
 array: that loses nothing.
 
 The items are broadcast in blocks of at most ``BLOCK_TOKENS`` tokens; more items mean more blocks, each read against
-the whole corpus. Shards follow each other in a task, which holds one of them; a document is never cut. A hot passage
-gives a pair once per shard and document.
+the whole corpus. Shards follow each other in a task, which holds one of them; a document is never cut. A passage that
+many documents of a shard hold is matched with the items once, and its pairs leave the task as they are made.
 
 Defined results: null and empty texts match nothing; items with fewer tokens than a match needs can't leak; repeated
 documents or items each count under their own id.
@@ -35,6 +35,8 @@ MIN_LETTERS = 30
 SPACELESS = ("ja", "zh", "th")
 SHARD_TOKENS = 2_000_000
 BLOCK_TOKENS = 2_000_000
+#: Pairs of a place or document with an item that are held at once.
+PAIRS = 2_000_000
 
 _TAG_IN = re.compile(r"</?(?:b|i|u|s|em|strong|span|font|a|sub|sup|small|mark|code)\b[^<>]{0,200}>", re.I)
 _TAG = re.compile(r"</?[a-z][a-z0-9]*\b[^<>@]{0,200}>|&nbsp;|&#160;", re.I)
@@ -137,6 +139,10 @@ class Items:
         # Equal sequences of different items are searched once.
         self.distinct, self.inverse = np.unique(self.want, axis=0, return_inverse=True) if len(self.want) else (self.want, np.empty(0, np.int64))
         self.inverse = self.inverse.reshape(-1)
+        # Where each distinct sequence stands: ``many`` entries of ``by`` from ``first`` on.
+        self.by = np.argsort(self.inverse, kind="stable")
+        self.many = np.bincount(self.inverse, minlength=len(self.distinct))
+        self.first = np.concatenate(([0], np.cumsum(self.many)))[:-1]
         # Whether every sequence holds a letter of a script without spaces: then texts without one can't match.
         marks = np.array([False] + [bool(_MARK.match(w)) for w in sorted(self.ids)])
         self.marked = bool(len(self.distinct)) and bool(marks[self.distinct].any(1).all())
@@ -177,12 +183,15 @@ class Shard:
         self.parts.append((doc, tokens, place))
         self.size += len(tokens)
 
-    def matches(self) -> pd.DataFrame:
-        """doc_id, item_id, longest, doc_place, item_place."""
-        out = pd.DataFrame({"doc_id": [], "item_id": [], "longest": [], "doc_place": [], "item_place": []}).astype("int64")
+    def matches(self, most: int = PAIRS) -> Iterator[pd.DataFrame]:
+        """doc_id, item_id, longest, doc_place, item_place.
+
+        Places of the text that follow each other in the suffix ranges are one passage. Equal passages are matched with
+        the items once, however many documents hold them; only then do documents meet items, about ``most`` at a time.
+        """
         parts, self.parts, self.size = self.parts, [], 0
         if not parts or not len(self.items.distinct):
-            return out
+            return
         text = np.concatenate([p[1] for p in parts])
         place = np.concatenate([p[2] for p in parts])
         doc = np.repeat(np.arange(len(parts)), [len(p[1]) for p in parts])
@@ -193,28 +202,74 @@ class Shard:
         lo, hi = search(padded, order, self.items.distinct)
         hit = np.flatnonzero(hi > lo)
         if not len(hit):
-            return out
+            return
         count = (hi - lo)[hit]
         start = np.repeat(lo[hit] - np.concatenate(([0], np.cumsum(count)[:-1])), count)
         at = order[start + np.arange(count.sum())]
-        seq = np.repeat(hit, count)
-        # Every item that has the sequence.
-        by = np.argsort(self.items.inverse, kind="stable")
-        first = np.searchsorted(self.items.inverse[by], seq)
-        many = np.bincount(self.items.inverse, minlength=len(self.items.distinct))[seq]
-        rep = np.repeat(np.arange(len(seq)), many)
-        source = by[np.repeat(first - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())]
-        d, i, p, q = doc[at][rep], self.items.item[source], at[rep], self.items.place[source]
+        # Each place begins with one sequence at most.
+        seq = np.full(len(text) + 1, -1, np.int64)
+        seq[at] = np.repeat(hit, count)
+        step = np.flatnonzero(np.diff(np.concatenate(([0], (seq >= 0).astype(np.int8)))))
+        begin, end = step[::2], step[1::2]
+        kinds: dict[bytes, int] = {}
+        kind = np.array([kinds.setdefault(seq[b:e].tobytes(), len(kinds)) for b, e in zip(begin, end, strict=True)])
+        first = np.unique(kind, return_index=True)[1]
+        found_ = [self._passages(seq, begin[first], end[first], k, n) for k, n in self._chunks(self._weight(seq, begin[first], end[first]), most)]
+        passage, item, longest, off, item_place = (np.concatenate(x) for x in zip(*found_, strict=True))
+        # Documents with their passages, in blocks of whole documents.
+        many = np.bincount(passage, minlength=len(first))
+        starts = np.concatenate(([0], np.cumsum(many)))[:-1]
+        own = doc[begin]
+        edges = np.concatenate(([0], np.flatnonzero(np.diff(own)) + 1, [len(own)]))
+        pairs = np.concatenate(([0], np.cumsum(many[kind])))
+        for a, b in self._chunks(np.diff(pairs[edges]), most):
+            x, y = edges[a], edges[b]
+            n = many[kind[x:y]]
+            which = np.repeat(np.arange(x, y), n)
+            source = np.repeat(starts[kind[x:y]] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+            all_ = pd.DataFrame({"doc": own[which], "item_id": item[source], "longest": longest[source], "doc_place": place[begin[which] + off[source]], "item_place": item_place[source]})
+            best = all_.sort_values(["longest", "doc_place"], ascending=[False, True]).drop_duplicates(["doc", "item_id"])
+            yield best.assign(doc_id=docs[best["doc"]])[["doc_id", "item_id", "longest", "doc_place", "item_place"]].astype("int64")
+
+    @staticmethod
+    def _chunks(weight: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+        """Neighbouring entries of about so much weight together, one at least."""
+        total = np.concatenate(([0], np.cumsum(weight)))
+        begin = 0
+        while begin < len(weight):
+            end = max(begin + 1, int(np.searchsorted(total, total[begin] + most, side="right")) - 1)
+            yield begin, end
+            begin = end
+
+    def _weight(self, seq: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """How many places of items meet each passage."""
+        many = np.concatenate((self.items.many, [0]))  # the last stands for no sequence
+        total = np.concatenate(([0], np.cumsum(many[seq])))
+        return total[end] - total[begin]
+
+    def _passages(self, seq: np.ndarray, begin: np.ndarray, end: np.ndarray, a: int, b: int) -> tuple[np.ndarray, ...]:
+        """(passage, item, longest match, its place in the passage and in the item) of the passages a to b."""
+        size = (end - begin)[a:b]
+        p = np.repeat(np.arange(a, b), size)
+        o = np.arange(size.sum()) - np.repeat(np.concatenate(([0], np.cumsum(size)[:-1])), size)
+        own = seq[begin[p] + o]
+        many = self.items.many[own]
+        rep = np.repeat(np.arange(len(own)), many)
+        source = self.items.by[np.repeat(self.items.first[own] - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())]
+        p, o, i, q = p[rep], o[rep], self.items.item[source], self.items.place[source]
         # Neighbours on a diagonal are one longer match.
-        by = np.lexsort((p, p - q, i, d))
-        d, i, p, q = d[by], i[by], p[by], q[by]
-        fresh = np.ones(len(d), bool)
-        fresh[1:] = (d[1:] != d[:-1]) | (i[1:] != i[:-1]) | (p[1:] != p[:-1] + 1) | (q[1:] != q[:-1] + 1)
-        begin = np.flatnonzero(fresh)
-        length = np.diff(np.append(begin, len(d))) + need - 1
-        all_ = pd.DataFrame({"doc": d[begin], "item_id": i[begin], "longest": length, "doc_place": place[p[begin]], "item_place": q[begin]})
-        best = all_.sort_values(["longest", "doc_place"], ascending=[False, True]).drop_duplicates(["doc", "item_id"])
-        return best.assign(doc_id=docs[best["doc"]])[out.columns].astype("int64")
+        by = np.lexsort((o, o - q, i, p))
+        p, o, i, q = p[by], o[by], i[by], q[by]
+        fresh = np.ones(len(p), bool)
+        fresh[1:] = (p[1:] != p[:-1]) | (i[1:] != i[:-1]) | (o[1:] != o[:-1] + 1) | (q[1:] != q[:-1] + 1)
+        head = np.flatnonzero(fresh)
+        length = np.diff(np.append(head, len(p))) + self.items.need - 1
+        p, i, o, q = p[head], i[head], o[head], q[head]
+        by = np.lexsort((q, o, -length, i, p))
+        p, i, length, o, q = p[by], i[by], length[by], o[by], q[by]
+        keep = np.ones(len(p), bool)
+        keep[1:] = (p[1:] != p[:-1]) | (i[1:] != i[:-1])
+        return p[keep], i[keep], length[keep], o[keep], q[keep]
 
 
 def _blocks(items: DataFrame, block_tokens: int) -> Iterator[list]:
@@ -253,9 +308,9 @@ def leaks(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, mi
                         by_letter.add(doc, letters[np.minimum(codes, len(letters) - 1)])
                     for shard in (by_word, by_letter):
                         if shard.size >= shard_tokens:
-                            yield shard.matches()
+                            yield from shard.matches()
             for shard in (by_word, by_letter):
-                yield shard.matches()
+                yield from shard.matches()
 
         part = corpus.mapInPandas(run, "doc_id long, item_id long, longest long, doc_place long, item_place long")
         out = part if out is None else out.union(part)

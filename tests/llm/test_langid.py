@@ -75,3 +75,41 @@ def test_kneser_ney_sums_to_one(trained):
     base = models.entropies([context])[0, j] * len(context)
     total = sum(np.exp(-(models.entropies([context + c])[0, j] * (len(context) + 1) - base)) for c in chars)
     assert 0.7 < total <= 1.001
+
+
+def test_labels():
+    assert len(L.CODES.split()) == len(set(L.CODES.split())) and "xx" not in L.CODES.split()
+
+
+def test_labels_of_any_language(spark):
+    """Swedish isn't among the named ones; a code that only wrong labels bear makes no language."""
+    sv = ["Index för vyn stängdes innan kontoret öppnade igen.", "Det fanns inga frågor om den här punkten.", "E-postarkivet måste byggas om före nästa möte.", "Vi räknade {n} dokument och jämförde dem med listan."]
+    rng = random.Random(2)
+    more = [(1000 + i, " ".join(rng.choice(sv).format(n=rng.randrange(999)) for _ in range(4)), "sv-SE" if i % 2 else "sv", "sv") for i in range(60)]
+    wrong = [(2000 + i, " ".join(rng.sample(EN, 2)).format(n=i), "pl", "en") for i in range(8)]
+    # Enough different sentences of certain label, so that a language needs some.
+    many = [(3000 + 10 * i + k, f"{s} Entry {'abcdefghijklmnopqrstuvwxyz'[i]} of the list was checked again.".format(n=i), "en", "en") for i in range(26) for k, s in enumerate(EN * 2)]
+    many += [(6000 + 10 * i + k, f"{s} Punkt {'abcdefghijklmnopqrstuvwxyz'[i]} in der Liste wurde noch einmal geprüft.".format(n=i), "de", "de") for i in range(26) for k, s in enumerate(DE * 2)]
+    many += [(9000 + 10 * i + k, f"{s} Punkten {'abcdefghijklmnopqrstuvwxyz'[i]} på listan kontrollerades igen.".format(n=i), "sv", "sv") for i in range(26) for k, s in enumerate(sv * 2)]
+    df = spark.createDataFrame(more + wrong + many, DOCS)
+    models = L.train(df)
+    assert models.languages == ["de", "en", "sv"]
+    got = {r["doc_id"]: (r["label"], r["main"]) for r in L.segments(df, models).collect()}
+    assert all(got[i] == ("sv", "sv") for i, *_ in more) and all(got[i] == ("pl", "en") for i, *_ in wrong)
+
+
+def test_sample_is_bounded(spark):
+    df = spark.createDataFrame(corpus(400, 0.0) + [(None, EN[0], "en", "en")], DOCS)
+    drawn = {r["code"]: r["count"] for r in L._sampled(df, 30).groupBy("code").count().collect()}
+    assert all(10 <= n <= 60 for n in drawn.values()) and set(drawn) == set(ALL)
+    assert L.train(df, per_label=30).languages == sorted(ALL)
+
+
+def test_confidence_is_calibrated(spark, trained):
+    """On held-out sentences the mean confidence is near the share that is right, and never certain."""
+    rows, _, models = trained
+    held = [(code, t) for i, (_, text, _, code) in enumerate(corpus(80, 0.0)) for t in [text] if i % 2]
+    got = models.judge([L.plain(t) for _, t in held])
+    right = sum(lang == code for (code, _), (lang, _) in zip(held, got, strict=True)) / len(held)
+    mean = sum(x for _, x in got) / len(got)
+    assert abs(mean - right) < 0.1 and all(x < 1 for _, x in got)

@@ -41,6 +41,24 @@ def test_brute_force(spark):
         assert len(got) == len({(r["doc_id"], r["item_id"]) for r in got})
 
 
+def test_hot_passage(spark, monkeypatch):
+    """A passage in every document and in many items: matched once, and the pairs come in small blocks."""
+    common = " ".join(f"c{k}" for k in range(9))
+    items = [(i, "en", f"x{i} {common} y{i} {common} c0") for i in range(20)]
+    docs = [(d, f"z{d} {common} q {common} c0" if d % 3 else f"{common} x7 {common} y7") for d in range(200)]
+    a, b = frames(spark, docs, items)
+    want = {(r["doc_id"], r["item_id"], r["longest"], r["doc_place"], r["item_place"]) for r in L.leaks(a, b, min_words=6).collect()}
+    assert {w[:2] for w in want} == {(d, i) for d in range(200) for i in range(20)}
+    assert {w[2:] for w in want if w[0] % 3} == {(10, 11, 11)} and {w[2:] for w in want if not w[0] % 3 and w[1] != 7} == {(9, 0, 1)}
+    assert {w[2:] for w in want if not w[0] % 3 and w[1] == 7} == {(11, 9, 0)}
+    monkeypatch.setattr(L.Shard.matches, "__defaults__", (7,))
+    items_, shard = L.Items([(i, L.words(t)) for i, _, t in items], 6), None
+    shard = L.Shard(items_)
+    for d, t in docs:
+        shard.add(d, L.np.array([items_.ids.get(w, 0) for w in L.words(t)], L.np.int32))
+    assert {tuple(r) for f in shard.matches() for r in f.itertuples(index=False)} == want
+
+
 def test_alterations_and_places(spark):
     item = "The night shift of Quaethe exchanges a brass key for 54 blank index cards unless the inspector has already signed the margin."
     altered = item.upper().replace("BRASS", "<b>BR­A​SS</b>").replace(" ", " ").replace("INDEX", "**INDEX**\n> ")

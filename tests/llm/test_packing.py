@@ -42,13 +42,22 @@ def test_little_space_is_left():
     kinds = P.plan(histogram)
     total = sum(x * n for x, n in histogram.items())
     assert total / (2048 * sum(n for n, _ in kinds)) > 0.99
+    made, left = P.by_patterns(histogram)
+    assert sum(left.values()) < 0.35 * 20_000 and sum(n for n, _ in made) > 0.85 * sum(n for n, _ in kinds)
+
+
+def test_a_column_of_the_residual_is_the_worthiest():
+    used, worth = np.array([2, 3, 7]), np.array([1.0, 1.6, 3.0])
+    best = max((k for k in itertools.product(range(7), range(5), range(2)) if np.dot(k, used) == 13), key=lambda k: np.dot(k, worth))
+    assert tuple(P._worthiest(used, worth, 13)) == best
+    assert P._worthiest(np.array([4]), np.array([1.0]), 13) is None
 
 
 def test_nnls():
     rng = np.random.default_rng(0)
     a, x = rng.random((30, 12)), np.maximum(rng.normal(size=12), 0)
-    assert np.allclose(P.nnls(a, a @ x), x, atol=1e-6)
-    y = P.nnls(a, -np.ones(30))
+    assert np.allclose(P.nnls(a, a @ x)[1], x, atol=1e-6)
+    y = P.nnls(a, -np.ones(30))[1]
     assert (y == 0).all()
 
 
@@ -85,5 +94,5 @@ def test_one_length_many_texts(spark):
 @pytest.mark.parametrize("vocabulary", ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"])
 def test_tokenizer_is_a_parameter(spark, vocabulary):
     df = spark.createDataFrame([(1, "größer 出張承認 <|endoftext|>")], "doc_id long, text string")
-    own = P.encoder(P.TOKENIZERS, vocabulary)
+    own = P.encoder(*P.files(P.TOKENIZERS, vocabulary))
     assert P.measure(df, vocabulary=vocabulary).first()["n_tokens"] == len(own.encode_ordinary("größer 出張承認 <|endoftext|>"))
