@@ -347,13 +347,15 @@ def counted_tokens(examined: DataFrame, used: set[str]) -> DataFrame:
     return examined.select("text").mapInPandas(run, "token string, times long").groupBy("token").agg(F.sum("times").alias("times"))
 
 
-def beginning(names: Iterable[str]) -> re.Pattern | None:
-    """What every text that holds one of the names matches: first and second character of one of them."""
-    second: dict[str, set[str]] = {}
+def seeker(names: Iterable[str]):
+    """An automaton that gives all names that stand anywhere in a text."""
+    import ahocorasick
+
+    out = ahocorasick.Automaton()
     for name in names:
-        second.setdefault(name[0], set()).add(name[1:2])
-    both = [re.escape(a) + ("" if "" in bs else "[" + "".join(map(re.escape, sorted(bs))) + "]") for a, bs in sorted(second.items())]
-    return re.compile("|".join(both)) if both else None
+        out.add_word(name, name)
+    out.make_automaton()
+    return out
 
 
 def bytes_of(df: DataFrame, *columns: str) -> int:
@@ -373,19 +375,21 @@ def distinct_texts(every: DataFrame, names: DataFrame, used: set[str]) -> DataFr
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, odd_ = dict(shared.value) if few else {}, odd_pattern(used)
         held: dict[str, set[int]] = {name: set() for name in known}
-        begins, width = None, -1
+        seek, width = None, 0
         for pdf in batches:
             out = []
             for text, h in dict(zip(pdf["text"], pdf["h"], strict=True)).items():
                 if few:
-                    if len(known) != width:
-                        begins, width = beginning(known), len(known)
-                    if begins is None:
+                    if not known:
                         break
-                    if not begins.search(text):
+                    if 2 * len(known) <= width or seek is None:
+                        seek, width = seeker(known), len(known)
+                    # Tokens and words are pieces of the text, so others needn't be cut.
+                    there = {name for _, name in seek.iter(text)} & known.keys()
+                    if not there:
                         continue
                 own = tokens(text, odd_).union(*(parts(w) for w in set(_WORD.findall(text)) if not w.isascii()))
-                for name in known.keys() & own if few else own:
+                for name in there & own if few else own:
                     out.append((name, h))
                     if few:
                         held[name].add(h)
