@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.operators import nested, references, timestamps
+from folioforge.plans.walk_sql import NODES
 from folioforge.session import table
 
 
@@ -33,7 +34,12 @@ def _p3_found(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _p3_tables(spark: SparkSession, base: str) -> DataFrame:
-    return nested.tables(nested.flatten(table(spark, base, "raw_records")))
+    every = nested.tables(nested.flatten(table(spark, base, "raw_records")))
+    return every.withColumn("dewey", F.array_join(F.col("dewey").cast("array<string>"), "."))
+
+
+def _p3_report(spark: SparkSession, base: str) -> DataFrame:
+    return nested.report(table(spark, base, "raw_records"))
 
 
 def _p4_found(spark: SparkSession, base: str) -> DataFrame:
@@ -45,7 +51,7 @@ def _p4_report(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "p1_found": _p1_found, "p1_report": _p1_report, "p3_found": _p3_found, "p3_tables": _p3_tables, "p4_found": _p4_found, "p4_report": _p4_report,
+    "p1_found": _p1_found, "p1_report": _p1_report, "p3_found": _p3_found, "p3_tables": _p3_tables, "p3_report": _p3_report, "p4_found": _p4_found, "p4_report": _p4_report,
 }
 
 _ORPHANS = r"""
@@ -72,7 +78,14 @@ WITH ev AS (
 )
 """
 
+_VALUES = ", ".join(f"v ->> '$.{k}' AS {k}" for k in ("t", "type", "name", "text", "value", "width", "href", "label"))
+
 SQL: dict[str, str] = {
+    "p3_found": NODES + "SELECT record_id, node_path, parent_path FROM nodes",
+    "p3_tables": NODES + rf"""SELECT record_id, node_path, parent_path, array_to_string(dewey, '.') AS dewey, depth, "table", CASE WHEN starts_with("table", 'layout') THEN 'layout' ELSE regexp_extract("table", '([^.]+)$', 1) END AS kind,
+  {_VALUES}, try_cast(v ->> '$.size' AS BIGINT) AS size, try_cast(v ->> '$.colspan' AS INT) AS colspan, try_cast(v ->> '$.rowspan' AS INT) AS rowspan FROM nodes""",
+    "p3_report": NODES + f"""SELECT "table", count(*)::BIGINT AS n_rows, count(DISTINCT record_id)::BIGINT AS n_records, max(depth)::INT AS max_depth FROM nodes GROUP BY "table"
+  UNION ALL SELECT '{nested.UNREADABLE}', 0, count(DISTINCT record_id), 0 FROM (SELECT record_id FROM raw_records WHERE record_id NOT IN (SELECT record_id FROM texts WHERE json_type(j) = 'OBJECT')) HAVING count(*) > 0""",
     "p4_found": _ORPHANS + "SELECT ref_table, ref_id FROM orphans",
     "p4_report": _ORPHANS + "SELECT ref_table, strftime(seen_at AT TIME ZONE 'UTC', '%Y-%m') AS month, count(*)::BIGINT AS orphans FROM orphans GROUP BY ALL",
 }

@@ -11,6 +11,7 @@ from folioforge.functions import text as fn
 from folioforge.operators import extraction, tokens
 from folioforge.operators.progress import note_key
 from folioforge.plans.documents import SQL as _SQL
+from folioforge.plans.walk_sql import NODES, TOKENS
 from folioforge.render import engine
 from folioforge.session import table
 from folioforge.sources import dxl, files
@@ -37,6 +38,43 @@ _of("token_links", tokens.links)
 QUERIES["table_widths"] = lambda spark, base: tokens.table_widths(table(spark, base, "raw_records"))
 QUERIES["table_grid"] = lambda spark, base: tokens.grid(table(spark, base, "raw_records"))
 QUERIES["cell_attributes"] = lambda spark, base: tokens.cell_attributes(table(spark, base, "raw_records"))
+
+_W = "(PARTITION BY record_id, parent_path, slot ORDER BY dewey)"
+_INCHES = r"CASE WHEN ends_with({0}, 'in') THEN {1} WHEN ends_with({0}, 'pt') THEN {1} / 72.0 ELSE 0 END"
+_INDENT = "CASE WHEN {0} >= 1.75 THEN 'indent-3' WHEN {0} >= 1.25 THEN 'indent-2' WHEN {0} >= 0.75 THEN 'indent-1' ELSE '' END"
+
+
+def _indent_of(margin: str) -> str:
+    number = rf"try_cast(regexp_extract({margin}, '^\s*([0-9.]+)\s*(?:in|pt)?\s*$', 1) AS DOUBLE)"
+    return _INDENT.format("(" + _INCHES.format(margin, number) + ")")
+
+
+_LISTED = "CASE v ->> '$.a.list.type' WHEN 'number' THEN '1' WHEN 'alphaupper' THEN 'A' WHEN 'alphalower' THEN 'a' WHEN 'romanupper' THEN 'I' WHEN 'romanlower' THEN 'i' END"
+_SPACE = "try_cast(v ->> '$.a.spaceafter' AS DOUBLE)"
+_SPAN = "CASE WHEN try_cast({1} AS INT) > 1 THEN '{0}=\"' || try_cast({1} AS INT) || '\"' END"
+SQL |= {
+    "token_counts": TOKENS + "SELECT record_id, t, count(*)::BIGINT AS n FROM toks GROUP BY record_id, t",
+    "token_first_link": TOKENS + "SELECT record_id, node_path, text, label, name, alt FROM toks WHERE t = 'link' QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY dewey, node_path) = 1",
+    "token_text": TOKENS + r""", pieces AS (SELECT *, CASE t WHEN 'text' THEN text WHEN 'link' THEN label WHEN 'par' THEN chr(10) WHEN 'br' THEN chr(10) WHEN 'attachmentref' THEN '[' || displayname || ']' WHEN 'img' THEN '[Image: ' || alt || ']' WHEN 'hr' THEN chr(10) || '---' || chr(10) END AS piece FROM toks)
+  SELECT record_id, field, regexp_replace(string_agg(piece, '' ORDER BY dewey, node_path), '^\n+|\s+$', '', 'g') AS text FROM pieces WHERE piece IS NOT NULL GROUP BY record_id, field""",
+    "token_merge": TOKENS + f""", own AS (SELECT *, sum(CASE WHEN t = 'text' AND coalesce(lt = t AND ls = coalesce(s, '') AND la = coalesce(a, ''), false) THEN 0 ELSE 1 END) OVER {_W} AS isle FROM (SELECT *, lag(t) OVER {_W} AS lt, lag(coalesce(s, '')) OVER {_W} AS ls, lag(coalesce(a, '')) OVER {_W} AS la FROM toks))
+  SELECT record_id, parent_path, slot, s, a, min(node_path) AS node_path, count(*)::BIGINT AS n, coalesce(string_agg(text, '' ORDER BY dewey), '') AS text FROM own WHERE t = 'text' GROUP BY record_id, parent_path, slot, isle, s, a""",
+    "token_paragraphs": TOKENS + f"""SELECT record_id, node_path, again, concat_ws(' ', CASE WHEN v ->> '$.a.align' IN ('left', 'center', 'right', 'justify') THEN 'text-align: ' || (v ->> '$.a.align') || ';' WHEN v ->> '$.a.align' = 'full' THEN 'text-align: justify;' END, CASE WHEN {_SPACE} <> 0 THEN 'margin-bottom: ' || round(greatest({_SPACE} - 1, 0) * 0.8, 4) || 'em;' END) AS css,
+  {_indent_of("coalesce(v ->> '$.a.leftmargin', '')")} AS indent, v ->> '$.a.list.type' AS list, {_LISTED} AS ol_type
+  FROM (SELECT *, coalesce(lag(t) OVER {_W} = 'par' AND coalesce(lag(a) OVER {_W}, '') = coalesce(a, ''), false) AS again FROM toks) WHERE t = 'par'""",
+    "token_lists": TOKENS + f"""SELECT record_id, node_path, kind, list_no::BIGINT AS list_no, item::INT AS item FROM (SELECT *, row_number() OVER (PARTITION BY record_id, parent_path, slot, list_no ORDER BY dewey) AS item FROM (
+  SELECT *, sum(CASE WHEN before = kind THEN 0 ELSE 1 END) OVER {_W} AS list_no FROM (SELECT *, lag(kind) OVER {_W} AS before FROM (SELECT *, coalesce(v ->> '$.a.list.type', '') AS kind FROM toks WHERE t = 'par')))) WHERE kind <> ''""",
+    "token_images": TOKENS + "SELECT record_id, node_path, alt, (row_number() OVER (PARTITION BY record_id ORDER BY dewey) - 1)::INT AS seq FROM toks WHERE t = 'img'",
+    "token_indents": TOKENS + f"""SELECT record_id, node_path, t, indent FROM (SELECT *, coalesce(last_value(nullif(own, '') IGNORE NULLS) OVER (PARTITION BY record_id, parent_path, slot ORDER BY dewey ROWS UNBOUNDED PRECEDING), '') AS indent FROM (SELECT *, CASE WHEN t = 'par' THEN {_indent_of("coalesce(v ->> '$.a.leftmargin', '')")} END AS own FROM toks)) WHERE t IS DISTINCT FROM 'par' AND t IS NOT NULL""",
+    "token_styles": TOKENS + r"""SELECT record_id, node_path, concat_ws(' ', CASE WHEN list_has_any(f, ['b']) THEN 'strong' END, CASE WHEN list_has_any(f, ['i']) THEN 'em' END, CASE WHEN list_has_any(f, ['u']) THEN 'u' END, CASE WHEN list_has_any(f, ['s', 'strike']) THEN 's' END, CASE v ->> '$.a.script' WHEN 'super' THEN 'sup' WHEN 'sub' THEN 'sub' END) AS tags,
+  concat_ws(' ', 'color: ' || nullif(v ->> '$.a.color', '') || ';', 'background-color: ' || nullif(v ->> '$.a.bgcolor', '') || ';', 'font-size: ' || nullif(v ->> '$.a.size', '') || ';') AS css,
+  CASE WHEN regexp_full_match(v ->> '$.a.color', '#[0-9A-Fa-f]{6}') THEN [('0x' || substr(v ->> '$.a.color', 2, 2))::INT, ('0x' || substr(v ->> '$.a.color', 4, 2))::INT, ('0x' || substr(v ->> '$.a.color', 6, 2))::INT] END AS rgb
+  FROM (SELECT *, coalesce(try_cast(s AS JSON)::VARCHAR[], []) AS f FROM toks WHERE t IN ('text', 'link'))""",
+    "token_links": TOKENS + "SELECT record_id, node_path, kind, href, label FROM (SELECT *, CASE WHEN v ->> '$.a.notes.unid' IS NOT NULL THEN 'notes' WHEN regexp_matches(lower(href), '^https?://') THEN 'http' END AS kind FROM toks WHERE t = 'link') WHERE kind IS NOT NULL",
+    "table_widths": NODES + r"""SELECT record_id, regexp_replace(row_path, '\.rows\[\d+\]$', '') AS table_path, count(*)::BIGINT AS n_rows, max(width)::BIGINT AS n_columns FROM (SELECT record_id, parent_path AS row_path, sum(coalesce(try_cast(v ->> '$.colspan' AS INT), 1)) AS width FROM nodes WHERE ends_with("table", '.cells') GROUP BY ALL) GROUP BY ALL""",
+    "cell_attributes": NODES + "SELECT record_id, node_path, concat_ws(' ', " + _SPAN.format("colspan", "coalesce(v ->> '$.colspan', v ->> '$.columnspan')") + ", " + _SPAN.format("rowspan", "v ->> '$.rowspan'") + """, 'style="background-color: ' || nullif(coalesce(v ->> '$.style.bgcolor', v ->> '$.style.style.bgcolor'), '') || ';"') AS attributes FROM nodes WHERE ends_with("table", '.cells')""",
+}
+
 QUERIES["render_documents"] = lambda spark, base: engine.render(table(spark, base, "raw_records"), ("html", "md"))
 QUERIES["stream_progress"] = lambda spark, base: progress_state.snapshot(spark, f"{base}/progress_log.parquet")
 
