@@ -95,6 +95,14 @@ def preferred_name(atts: DataFrame) -> DataFrame:
     return unique_names(atts.select("att_id", "unid", pretty.alias("pretty")), "unid", "att_id").select("att_id", "unid", "pretty", "file_name")
 
 
+def fallback(atts: DataFrame, files: DataFrame) -> DataFrame:
+    """Attachments with the file (unid, path) that was extracted for them: by the name of their reference, then by their own."""
+    f = files.select("unid", F.regexp_extract("path", r"([^/]*)$", 1).alias("_n"), "path").groupBy("unid", "_n").agg(F.min("path").alias("path"))
+    by = lambda c, to: f.select("unid", F.col("_n").alias(c), F.col("path").alias(to))
+    out = atts.select("att_id", "unid", "ref_name", "name").join(by("ref_name", "_p1"), ["unid", "ref_name"], "left").join(by("name", "_p2"), ["unid", "name"], "left")
+    return out.select("att_id", "unid", F.coalesce("_p1", "_p2").alias("path"), F.when(F.col("_p1").isNotNull(), "ref_name").when(F.col("_p2").isNotNull(), "name").alias("by")).where(F.col("path").isNotNull())
+
+
 def fuzzy(atts: DataFrame, files: DataFrame) -> DataFrame:
     """Files (unid, path) that may be an attachment's: same note, same ending, one stem within the other; the first by path.
 
@@ -124,6 +132,12 @@ def icons(atts: DataFrame, folder: str = "attachments/icons") -> DataFrame:
     return atts.where(F.col("type") == "file").select("att_id", "unid", "name", icon_class(F.col("name")).alias("icon"), F.concat(F.lit(folder + "/"), icon_class(F.col("name")), F.lit(".gif")).alias("icon_path"))
 
 
+def icons_by_path(atts: DataFrame, refs: DataFrame) -> DataFrame:
+    """References (unid, content_path, name) with the icon of the file at that path, else of their own name's ending."""
+    known = atts.where((F.col("type") == "file") & F.col("content_path").isNotNull()).groupBy("unid", "content_path").agg(F.max_by("name", "att_id").alias("_n"))
+    return refs.join(known, ["unid", "content_path"], "left").select(*refs.columns, icon_class(F.coalesce("_n", "name")).alias("icon"))
+
+
 def first_per_extension(atts: DataFrame) -> DataFrame:
     """The first attachment of each ending."""
     return atts.select(F.lower(suffix(F.col("name"))).alias("ext"), "att_id", "name").where(F.col("ext") != "").groupBy("ext").agg(F.min("att_id").alias("att_id"), F.min_by("name", "att_id").alias("name"), F.count("*").alias("n"))

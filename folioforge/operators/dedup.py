@@ -7,6 +7,9 @@ are shuffled, never a content. Equal keys are counted map-side, and no group is
 
 from __future__ import annotations
 
+import hashlib
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +17,8 @@ from folioforge.functions.text import copylike, human_size
 
 #: Repeated sizes that are broadcast to filter the scan; with more of them all contents are hashed.
 SIZES = 1_000_000
+# Fixed value: bytes of the quick hash.
+FIRST = 1 << 20
 
 
 def _repeated(files: DataFrame, keys: list[str]) -> DataFrame:
@@ -34,6 +39,16 @@ def duplicates(files: DataFrame, strict_mtime: bool = False, most_sizes: int = S
     return _repeated(hashed, ["size", "hash", *(["mtime_s"] if strict_mtime else [])])
 
 
+def _blake2b(contents: pd.Series) -> pd.Series:
+    return contents.map(lambda c: None if c is None else hashlib.blake2b(c).hexdigest())
+
+
+def hashes(files: DataFrame, first: int = FIRST) -> DataFrame:
+    """path, size, first_sha256 (of the first MiB), sha256 and blake2b of each content; null where it can't be read."""
+    blake2b = F.pandas_udf(_blake2b, "string")
+    return files.select("path", "size", F.sha2(F.substring("content", 1, first), 256).alias("first_sha256"), F.sha2("content", 256).alias("sha256"), blake2b("content").alias("blake2b"))
+
+
 def known_content(files: DataFrame, stored: DataFrame) -> DataFrame:
     """Files (path, size, content) with whether the store already has their content: by size, then by hash."""
     key = lambda df: df.where(F.col("content").isNotNull()).select("path", "size", F.sha2("content", 256).alias("hash"))

@@ -157,9 +157,13 @@ def _(spark, base):
     return scan.since(files, ".TXT", "2024-06-01 00:00:00").select("path", F.unix_micros("created").alias("mtime_us"))
 
 
-@query("path_guard", "SELECT att_id, content_path, starts_with(content_path, 'attachments/') AS inside FROM doc_attachments WHERE content_path IS NOT NULL")
+@query("path_guard", "WITH p AS (SELECT att_id, CASE att_id % 4 WHEN 0 THEN content_path WHEN 1 THEN '../' || content_path WHEN 2 THEN replace(content_path, 'attachments/', 'attachments/../attachments2/') ELSE replace(content_path, 'attachments/', 'x/.././attachments/y/../') END AS path FROM doc_attachments WHERE content_path IS NOT NULL), c AS (SELECT att_id, path, regexp_replace(regexp_replace(replace(path, '/./', '/'), '(^|/)[^/.][^/]*/\\.\\./', '\\1', 'g'), '//+', '/', 'g') AS plain FROM p) SELECT att_id, path, starts_with(plain, 'attachments/') AS inside FROM c")
 def _(spark, base):
-    return table(spark, base, "doc_attachments").where(F.col("content_path").isNotNull()).select("att_id", "content_path", scan.inside(F.col("content_path"), "attachments").alias("inside"))
+    path, k = F.col("content_path"), F.col("att_id") % 4
+    out = lambda to: F.replace(path, F.lit("attachments/"), F.lit(to))
+    made = F.when(k == 0, path).when(k == 1, F.concat(F.lit("../"), path)).when(k == 2, out("attachments/../attachments2/")).otherwise(out("x/.././attachments/y/../"))
+    each = table(spark, base, "doc_attachments").where(path.isNotNull()).select("att_id", made.alias("path"))
+    return each.withColumn("inside", scan.inside(F.col("path"), "attachments"))
 
 
 # Duplicates
@@ -359,9 +363,56 @@ def _(spark, base):
     return table(spark, base, "doc_attachments").select("att_id", F.coalesce("modified", "created").alias("stamp"))
 
 
+@query("hash_variants", f"WITH {_FILES} SELECT path, size::INT AS size, sha256(encode(content)[1:1048576]) AS first_sha256, sha256(content) AS sha256 FROM files")
+def _(spark, base):
+    return dedup.hashes(_files(spark, base)).drop("blake2b")
+
+
+@query("blake2b_hashes")
+def _(spark, base):
+    return dedup.hashes(_files(spark, base)).select("path", "blake2b")
+
+
+@query("known_content", f"WITH {_FILES} SELECT path, sha256(content) AS hash, (size, sha256(content)) IN (SELECT size, sha256(content) FROM files WHERE mtime < TIMESTAMPTZ '2024-01-01 00:00:00+00') AS stored FROM files")
+def _(spark, base):
+    files = _files(spark, base)
+    return dedup.known_content(files, files.where(F.col("mtime") < F.lit("2024-01-01 00:00:00").cast("timestamp")))
+
+
+@query("fallback_files", f"WITH {_FOLDER}, f AS (SELECT unid, regexp_extract(path, '([^/]*)$', 1) AS n, min(path) AS path FROM files GROUP BY ALL) SELECT att_id, a.unid, coalesce(x.path, y.path) AS path, CASE WHEN x.path IS NOT NULL THEN 'ref_name' ELSE 'name' END AS by FROM doc_attachments a LEFT JOIN f x ON a.unid = x.unid AND a.ref_name = x.n LEFT JOIN f y ON a.unid = y.unid AND a.name = y.n WHERE coalesce(x.path, y.path) IS NOT NULL")
+def _(spark, base):
+    return attachments.fallback(table(spark, base, "doc_attachments"), _folder(spark, base))
+
+
+@query("icons_by_path", "WITH k AS (SELECT unid, content_path, arg_max(name, att_id) AS n FROM doc_attachments WHERE type = 'file' AND content_path IS NOT NULL GROUP BY ALL), x AS (SELECT a.att_id, a.unid, a.content_path, a.saved_name AS name, lower(regexp_extract(coalesce(k.n, a.saved_name), '\\.([^.]*)$', 1)) AS e FROM doc_attachments a LEFT JOIN k ON a.unid = k.unid AND a.content_path = k.content_path) SELECT att_id, unid, content_path, name, " + _ICON + " AS icon FROM x")
+def _(spark, base):
+    a = table(spark, base, "doc_attachments")
+    return attachments.icons_by_path(a, a.select("att_id", "unid", "content_path", F.col("saved_name").alias("name"))).select("att_id", "unid", "content_path", "name", "icon")
+
+
+@query("view_lookup", "SELECT rec_id, unid, form FROM normalized_docs WHERE form = 'Minutes'")
+def _(spark, base):
+    return scan.lookup(table(spark, base, "normalized_docs").select("rec_id", "unid", "form"), "form", "Minutes")
+
+
 # Texts
 
 
+@query("trimmed_leads", "SELECT field_id, regexp_replace(value, '^[ \\x{00A0}\\x{3000}]+', '') AS text FROM doc_fields WHERE value IS NOT NULL")
+def _(spark, base):
+    return table(spark, base, "doc_fields").where("value IS NOT NULL").select("field_id", fn.trim_lead(F.col("value")).alias("text"))
+
+
+_MARKUP = "'<p>  </p>' || chr(10) || chr(10) || chr(10) || ' <div>  <span class=\"a\"> </span> <b>' || replace(text, '<', '&lt;') || '</b>   </div> '"
+
+
+@query("squashed_html", f"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_MARKUP}, '>\\s+<', '><', 'g'), '[ \\t\\f\\x0b\\r]+\\n', chr(10), 'g'), '\\n{{2,}}', chr(10), 'g'), '(?i)<span(?:\\s+[^>]*)?>\\s*</span>', '', 'g'), '(?i)<p(?:\\s+[^>]*)?>\\s*</p>', '', 'g'), '^\\s+|\\s+$', '', 'g') AS html FROM documents WHERE text IS NOT NULL")
+def _(spark, base):
+    text = F.replace(F.col("text"), F.lit("<"), F.lit("&lt;"))
+    markup = F.concat(F.lit("<p>  </p>\n\n\n <div>  <span class=\"a\"> </span> <b>"), text, F.lit("</b>   </div> "))
+    return table(spark, base, "documents").where("text IS NOT NULL").select("doc_id", fn.squash_html(markup).alias("html"))
+
+
 @query("payload_hashes", "SELECT doc_id, sha256(text) AS sha256, length(text)::INT AS n_chars, strlen(text)::INT AS n_bytes FROM documents")
 def _(spark, base):
     return table(spark, base, "documents").select("doc_id", F.sha2(F.encode("text", "UTF-8"), 256).alias("sha256"), F.length("text").alias("n_chars"), F.octet_length("text").alias("n_bytes"))
