@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.operators import nested, references, timestamps
+from folioforge.plans.stamps_sql import STAMPS
 from folioforge.plans.walk_sql import NODES
 from folioforge.session import table
 
@@ -81,6 +82,8 @@ WITH ev AS (
 _VALUES = ", ".join(f"v ->> '$.{k}' AS {k}" for k in ("t", "type", "name", "text", "value", "width", "href", "label"))
 
 SQL: dict[str, str] = {
+    "p1_found": STAMPS + r"SELECT src_table, row_id, slot, utc_us FROM resolved WHERE utc_us IS NOT NULL AND NOT regexp_full_match(stamp, '\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d+)?Z')",
+    "p1_report": STAMPS + "SELECT src_table, status, count(*)::BIGINT AS stamps FROM resolved GROUP BY src_table, status",
     "p3_found": NODES + "SELECT record_id, node_path, parent_path FROM nodes",
     "p3_tables": NODES + rf"""SELECT record_id, node_path, parent_path, array_to_string(dewey, '.') AS dewey, depth, "table", CASE WHEN starts_with("table", 'layout') THEN 'layout' ELSE regexp_extract("table", '([^.]+)$', 1) END AS kind,
   {_VALUES}, try_cast(v ->> '$.size' AS BIGINT) AS size, try_cast(v ->> '$.colspan' AS INT) AS colspan, try_cast(v ->> '$.rowspan' AS INT) AS rowspan FROM nodes""",
