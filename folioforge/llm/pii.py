@@ -34,11 +34,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TRAIN_TEXTS = 5000
+#: Rows, as many times the sample, that it is drawn from.
+SAMPLE_FACTOR = 8
 #: What a directory may take, as counted, to be broadcast.
 DIRECTORY_BYTES = 32 << 20
 ROUNDS = 3
 #: Cached sums per worker; beyond them the cache starts anew.
 CACHE_ROWS = 1_000_000
+#: Cells (form, class, mark) and classes that the caches number before they start anew.
+CELLS, CLASSES = 1 << 15, 128
 EPOCHS = 6
 #: Tokens to the left and right within which a cue word counts.
 CUE_LEFT, CUE_RIGHT = 8, 3
@@ -55,6 +59,8 @@ _TOKEN = re.compile(rf"(?P<mail>{_MAIL})|(?P<code>{_CODE})|(?P<num>{_NUMBER})|(?
 # Titles, honorifics and roles before a name; they don't belong to it.
 TITLES = "herr herrn frau dr prof ing mr mrs ms miss sir mme mlle monsieur madame m sr sra srta señor señora senhor senhora d dña don doña dom dona sig ra signor signora dott ssa dhr mevr mevrouw meneer mw ª"
 _TITLES = frozenset(TITLES.split())
+# Signs that are classes of their own.
+_MARKS = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~。、「」『』（）：；・〒～！？–—“”‘’„«»…")
 # What follows a Japanese name.
 _HONORIFICS = frozenset("さん さま 様 氏 殿 君".split())
 # Words by which a French text is told, where M. is a title.
@@ -172,7 +178,7 @@ def describe(kind: str, form: str, names: Directory) -> tuple[str, str, str, str
     elif kind == "mail":
         form, cls, tag = "mail", "mail", "E"
     elif kind == "other":
-        cls = form
+        cls = form if form in _MARKS else "sym"
     elif kind == "nl":
         form = cls = "nl"
     else:
@@ -390,9 +396,13 @@ class Model:
         self._clear()
 
     def _clear(self) -> None:
-        """Empty caches: sums of weights by cell and by (offset, class, neighbour), as rows of one table."""
-        self.own: dict[tuple, int] = {}
-        self.near: list[dict[tuple, int]] = [{} for _ in OFFSETS]
+        """Empty caches: numbers of cells (form, class, mark) and classes, and the rows of one table of sums of weights
+        by cell, by (offset, cell there, class here) and by context."""
+        self.cells: dict[tuple, int] = {}
+        self.classes: dict[str, int] = {}
+        self.class_of = np.zeros(CELLS, np.int64)
+        self.own = np.full(CELLS, -1, np.int32)
+        self.near: np.ndarray | None = None
         self.around: dict[tuple, int] = {}
         self.sums = np.zeros((1024, len(LABELS)), np.float32)
         self.used = 0
@@ -415,32 +425,79 @@ class Model:
         self.used += 1
         return self.used - 1
 
-    def unary(self, t: Tokens) -> np.ndarray:
+    def _numbers(self, cells: list[tuple]) -> np.ndarray | None:
+        """Numbers of the cells; None if there are more than the caches can number."""
+        known, classes = self.cells, self.classes
+        out = np.empty(len(cells), np.int64)
+        for i, cell in enumerate(cells):
+            k = known.get(cell)
+            if k is None:
+                k = len(known)
+                c = classes.setdefault(cell[1], len(classes))
+                if k >= CELLS or c >= CLASSES:
+                    return None
+                known[cell] = k
+                self.class_of[k] = c
+                self.own[k] = self._row(own_features(*cell))
+            out[i] = k
+        return out
+
+    def unary(self, texts: list[Tokens]) -> np.ndarray:
+        """Scores of the labels of all tokens of the texts, one after the other."""
         if self.used > CACHE_ROWS:
             self._clear()
-        n = len(t.form)
-        edge = ("^", "^", "-")
-        cells = [edge] * 3 + list(zip(t.form, t.cls, t.mark, strict=True)) + [edge] * 3
-        ids: list[int] = []
-        own, near, around, row = self.own, self.near, self.around, self._row
-        for i, context in enumerate(t.contexts(), 3):
-            cell = cells[i]
-            k = own.get(cell)
-            if k is None:
-                k = own[cell] = row(own_features(*cell))
-            ids.append(k)
-            cls = cell[1]
-            for o, known in zip(OFFSETS, near, strict=True):
-                key = (cls, cells[i + o])
-                k = known.get(key)
+        edge = [("^", "^", "-")] * 3
+        stream = list(edge)
+        for t in texts:
+            stream += zip(t.form, t.cls, t.mark, strict=True)
+            stream += edge
+        ids = self._numbers(stream)
+        if ids is None:  # start anew; texts that are too much for empty caches go in halves
+            self._clear()
+            ids = self._numbers(stream)
+            if ids is None:
+                self._clear()
+                if len(texts) > 1:
+                    half = len(texts) // 2
+                    return np.concatenate((self.unary(texts[:half]), self.unary(texts[half:])))
+                return self._slow(texts[0])
+        if self.near is None:
+            self.near = np.full((len(OFFSETS), CELLS * CLASSES), -1, np.int32)
+        size = np.array([len(t.form) for t in texts])
+        at = np.arange(size.sum()) + 3 + 3 * np.repeat(np.arange(len(texts)), size)
+        here = self.class_of[ids[at]]
+        rows = np.empty((len(at), 2 + len(OFFSETS)), np.int64)
+        rows[:, 0] = self.own[ids[at]]
+        for k, o in enumerate(OFFSETS):
+            key = ids[at + o] * CLASSES + here
+            own = self.near[k][key]
+            if (own < 0).any():
+                first = np.unique(key[own < 0], return_index=True)[1]
+                for i in np.flatnonzero(own < 0)[first]:
+                    self.near[k, key[i]] = self._row(near_features(o, stream[at[i]][1], *stream[at[i] + o]))
+                own = self.near[k][key]
+            rows[:, 1 + k] = own
+        around, i = self.around, 0
+        for t in texts:
+            for context in t.contexts():
+                k = around.get(context)
                 if k is None:
-                    k = known[key] = row(near_features(o, cls, *cells[i + o]))
-                ids.append(k)
-            k = around.get(context)
-            if k is None:
-                k = around[context] = row(context_features(*context))
-            ids.append(k)
-        return self.sums[ids].reshape(n, 2 + len(OFFSETS), len(LABELS)).sum(1)
+                    k = around[context] = self._row(context_features(*context))
+                rows[i, -1] = k
+                i += 1
+        return self.sums[rows].sum(1)
+
+    def _slow(self, t: Tokens) -> np.ndarray:
+        """The scores without caches, for a text of very many different cells."""
+        cells = [("^", "^", "-")] * 3 + list(zip(t.form, t.cls, t.mark, strict=True)) + [("^", "^", "-")] * 3
+        out = np.zeros((len(t.form), len(LABELS)), np.float32)
+        for i, context in enumerate(t.contexts()):
+            names = own_features(*cells[i + 3]) + context_features(*context)
+            for o in OFFSETS:
+                names += near_features(o, cells[i + 3][1], *cells[i + 3 + o])
+            if at := [self.index[x] for x in names if x in self.index]:
+                out[i] = self.weights[at].sum(0)
+        return out
 
     def label(self, texts: list[Tokens], cells: int = 120_000) -> list[np.ndarray]:
         """Most likely label of every token of every text."""
@@ -461,10 +518,9 @@ class Model:
         size = np.array([len(t.form) for t in batch])
         longest = max(1, int(size.max()))
         unary = np.zeros((len(batch), longest, len(LABELS)), np.float32)
+        unary[np.arange(longest)[None, :] < size[:, None]] = self.unary(batch)
         edges: list[tuple[int, int, int]] = []
         for b, t in enumerate(batch):
-            if len(t.form):
-                unary[b, : len(t.form)] = self.unary(t)
             seen: dict[str, int] = {}
             for i, k in enumerate(t.key):
                 if k is not None:
@@ -887,9 +943,13 @@ def train(fields: DataFrame, people: DataFrame, size: int = TRAIN_TEXTS, most: i
     bytes_ = listed.agg(F.sum(F.coalesce(F.octet_length("given"), F.lit(0)) + F.coalesce(F.octet_length("family"), F.lit(0)) + 200)).first()[0] or 0
     few = bytes_ <= most
     own = texts(fields).select("text")
-    # Half of the sample from texts with something that may be personal, half from all; one pass, two bounded heaps.
+    # Half of the sample from texts with something that may be personal, half from all. A threshold on the hash, from
+    # the number of items, bounds what is made distinct and ordered, so copies of one text can't fill the sample.
+    n = fields.where(F.col("name").isin(*ITEMS)).count()
     likely = F.col("text").rlike(r"[@＠]|\d{5}|\(at\)|\[at\]|さん|様|氏|[Dd]r\.|Herr|Frau|M(?:r|rs|me)\b|Sra?\.|Sig|Dhr|Mevr")
-    rows = own.select(F.xxhash64("text").alias("h"), "text", likely.alias("likely")).distinct()
+    h = F.xxhash64("text")
+    near = F.pmod(h, F.lit(1_000_000)) < min(1.0, SAMPLE_FACTOR * size / max(1, n)) * 1_000_000
+    rows = own.where(near).select(h.alias("h"), "text", likely.alias("likely")).distinct()
     drawn = lambda df, n: df.orderBy("h", "text").limit(n)
     sample = drawn(rows.where("likely"), size // 2).union(drawn(rows, size - size // 2)).select("text").distinct()
     if few:

@@ -194,6 +194,26 @@ def test_invented_mentions_are_labelled():
         assert {y for y in labels if y} == {y for y, *_ in made[1]}
 
 
+def test_caches_change_nothing(monkeypatch):
+    """Scores from the caches are the sums of the weights, also when the caches start anew and for texts beyond them."""
+    rng = np.random.default_rng(5)
+    texts = [t for _, t, _ in sample(30, 4)] + [""]
+    names = P.Directory([("Amelie", "Brandavik")])
+    toks = [P.Tokens(t, names) for t in texts]
+    index = {}
+    for t in toks:
+        cells = [("^", "^", "-")] * 3 + list(zip(t.form, t.cls, t.mark)) + [("^", "^", "-")] * 3
+        for i, c in enumerate(t.contexts()):
+            for f in P.own_features(*cells[i + 3]) + P.context_features(*c) + P.near_features(-1, cells[i + 3][1], *cells[i + 2]):
+                index.setdefault(f, len(index))
+    model = P.Model(index, rng.normal(size=(len(index), 6)).astype(np.float32), np.zeros((6, 6), np.float32), 1.0)
+    want = np.concatenate([model._slow(t) for t in toks])
+    assert np.allclose(model.unary(toks), want, atol=1e-4) and np.allclose(model.unary(toks), want, atol=1e-4)
+    monkeypatch.setattr(P, "CELLS", 40)
+    model._clear()
+    assert np.allclose(model.unary(toks), want, atol=1e-4)
+
+
 def _exhaustive(unary, trans):
     n, labels = unary.shape
     out, total = np.zeros((n, labels)), 0.0
@@ -221,7 +241,7 @@ def test_skip_edges_agree():
     model = P.Model({}, np.zeros((0, 6), np.float32), np.zeros((6, 6), np.float32), 3.0)
     sure = np.zeros((5, 6), np.float32)
     sure[0, P.NAME], sure[4, P.O] = 4.0, 0.2
-    model.unary = lambda _: sure
+    model.unary = lambda _: sure  # one text
     assert model._batch([t])[0][4] == P.NAME
     model.skip = 0.0
     assert model._batch([t])[0][4] == P.O
