@@ -20,7 +20,10 @@ don't count, but for a tie.
 Sizes: the character repertoire is bounded by Unicode. Tokens are broadcast while they take at most
 ``BROADCAST_BYTES`` as counted and joined by shuffle otherwise.
 
-Defined results: null and empty texts and ASCII texts are no case; a row is reported once however many of its texts
+ISO-2022-JP whose escape characters are lost, and UTF-7, are all ASCII: their pieces are cut by their own marks and looked
+up like other tokens. Signs without letters that the examined texts hold count as clean words, but hide no garbled form.
+
+Defined results: null and empty texts and other ASCII texts are no case; a row is reported once however many of its texts
 are affected; text that was garbled with loss is found and, where no single original fits, left as it is
 (``restored`` false).
 """
@@ -28,6 +31,7 @@ are affected; text that was garbled with loss is found and, where no single orig
 from __future__ import annotations
 
 import re
+import unicodedata
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -63,8 +67,13 @@ CHAINS: list[tuple[tuple[str, str], ...]] = (
     + [(("utf-8", a), ("utf-8", b)) for a in ("cp1252", "latin-1") for b in ("cp1252", "latin-1")]
     + [(("utf-8", d), ("utf-8", d)) for d in ("cp437", "cp850", "mac_roman", "cp1251", "cp932")]
     + [(("utf-8", "cp1252"),) * 3]
+    + [(("iso2022_jp", "escapes lost"),), (("utf-7", "ascii"),)]
 )
 _HOLES = {"cp1252": (0x81, 0x8D, 0x8F, 0x90, 0x9D), "cp1251": (0x98,), "cp1250": (0x81, 0x83, 0x88, 0x90, 0x98)}
+#: What ISO-2022-JP leaves where its escape characters are lost, and UTF-7: all ASCII.
+_JIS = re.compile(r"\$[B@]((?:[!-~]{2})+?)(?=\([BJ]|[^!-~]|$|[!-~]$)(?:\([BJ])?")
+_SEVEN = re.compile(r"\+([A-Za-z0-9/]{3,})-?")
+_SEVEN_BITS = {"iso2022_jp", "utf-7"}
 _WORD = re.compile(r"(?:[A-Za-z]|[^\x00-\x7f])+")
 _RUN = re.compile(r"[^\x00-\x7f]+")
 _PAIR = re.compile(r"[^\x00-\x7f\u3000-\u9fff\uff00-\uffef]{2,}")
@@ -86,6 +95,8 @@ def decode(data: bytes, name: str) -> str:
     if name in _SINGLE:
         table = _table(name)
         return "".join([table[b] for b in data])
+    if name == "escapes lost":
+        return data.decode("ascii").replace("\x1b", "")
     return data.decode(name, "replace")
 
 
@@ -101,6 +112,8 @@ def encode(text: str, name: str) -> bytes:
             return bytes([_back(name)[c] for c in text])
         except KeyError:
             raise UnicodeError(name) from None
+    if name == "escapes lost":
+        raise UnicodeError(name)
     return text.encode(name)
 
 
@@ -158,6 +171,11 @@ def odd_pattern(used: set[str]) -> re.Pattern:
     return re.compile("[^\\x00-\\x7f" + "".join(map(re.escape, fine)) + "]")
 
 
+def symbols(w: str) -> bool:
+    """Line drawings, arrows and other signs without a letter or digit, which texts hold whatever their language."""
+    return all(c > "\x7f" and unicodedata.category(c)[0] in "SP" and c != "\ufffd" for c in w)
+
+
 def parts(w: str) -> set[str]:
     """What a word with a non-ASCII character gives: itself, its non-ASCII runs, neighbouring characters of Japanese.
 
@@ -194,15 +212,33 @@ def from_utf8(token: str) -> bool:
     return False
 
 
+def seven_bit(text: str) -> set[str]:
+    """Tokens of ISO-2022-JP without escapes (two characters each, a lone one with its end) and of UTF-7."""
+    out: set[str] = set()
+    if "$B" in text or "$@" in text:
+        for m in _JIS.finditer(text):
+            own = m.group(1)
+            out.update(["$B" + own[i : i + 4] for i in range(0, len(own) - 3, 2)])
+            if len(own) == 2:
+                out.add(f"$B{own}(B")
+    if "+" in text:
+        out.update([f"+{own}-" for own in _SEVEN.findall(text)])
+    return out
+
+
 def tokens(text: str, odd_: re.Pattern) -> set[str]:
-    """What is looked up in the table: words, runs, and windows that hold an odd character.
+    """What is looked up in the table: words, runs, windows that hold an odd character, and what seven-bit encodings leave."""
+    seven = seven_bit(text)
+    return seven if text.isascii() else seven | _tokens(text, odd_)
+
+
+def _tokens(text: str, odd_: re.Pattern) -> set[str]:
+    """Words, runs, and windows that hold an odd character.
 
     Every form of the table holds an odd character, a pair of narrow ones (a lead and a continuation byte), or, out of
     a multibyte decoding, a wide one and then decodes strictly back from UTF-8. So a text with none of these has no
     token that could match, and a text without the first two only tokens that decode so.
     """
-    if text.isascii():
-        return set()
     at = [m.start() for m in odd_.finditer(text)]
     plain = not at and not _PAIR.search(text)
     if plain and not _WIDE.search(text):
@@ -254,11 +290,26 @@ def contested(form: str, chain: str, used: set[str]) -> bool:
     return chain in EITHER_WAY and "�" not in form and fine(form, used)
 
 
+def seven_bit_forms(word: str, name: str, chain: tuple[tuple[str, str], ...]) -> Iterator[tuple[str, str]]:
+    """Of pairs and lone characters of Japanese in ISO-2022-JP, and of words without ASCII letters in UTF-7."""
+    if any(c < "\x80" for c in word) or (chain[0][0] == "iso2022_jp" and (len(word) > 2 or not _KANA.match(word))):
+        return
+    form = garble(word, chain)
+    if form is not None and form.isascii():
+        if chain[0][0] == "utf-7":
+            yield "+" + form.strip("+-") + "-", name
+        elif form.startswith("$B") and form.endswith("(B") and len(form) == 4 + 2 * len(word):
+            yield form if len(word) == 1 else form[:-2], name
+
+
 def forms(word: str, used: set[str]) -> Iterator[tuple[str, str]]:
     """(garbled form, chain) of a clean word."""
     japanese = len(word) == 2 and _KANA.match(word) is not None
     narrow = any("\uff61" <= c <= "\uff9f" for c in word)
     for name, chain in CHAIN_OF.items():
+        if chain[0][0] in _SEVEN_BITS:
+            yield from seven_bit_forms(word, name, chain)
+            continue
         form = garble(word, chain)
         if form is not None and narrow and len(word) < 3 and chain[0][0] != "utf-8" and "�" not in form:
             continue
@@ -279,7 +330,7 @@ def forms(word: str, used: set[str]) -> Iterator[tuple[str, str]]:
 
 
 def _texts(df: DataFrame) -> DataFrame:
-    return df.where(F.col("text").isNotNull() & F.col("text").rlike(r"[^\x00-\x7F]"))
+    return df.where(F.col("text").isNotNull() & F.col("text").rlike(r"[^\x00-\x7F]|\$[B@][!-~]{2}|\+[A-Za-z0-9/]{3}"))
 
 
 def texts(fields: DataFrame, attachments: DataFrame) -> DataFrame:
@@ -310,8 +361,8 @@ def clean_words(corpus: DataFrame, examined: DataFrame, used: set[str]) -> DataF
                     if not w.isascii():
                         for p in parts(w):
                             count[p] += n
-                kept = [w for w in count if fine(w, used)]
-                yield pd.DataFrame({"word": pd.Series(kept, dtype=object), "trusted": trusted, "n": np.array([count[w] for w in kept], np.int64)})
+                kept = [w for w in count if fine(w, used) or symbols(w)]
+                yield pd.DataFrame({"word": pd.Series(kept, dtype=object), "trusted": [trusted and fine(w, used) for w in kept], "n": np.array([count[w] for w in kept], np.int64)})
 
         return run
 
@@ -462,11 +513,34 @@ def affected(examined: DataFrame, corpus: DataFrame, used: set[str] | None = Non
     return each.join(matched, "token").groupBy("src_table", "row_id", "slot", "text").agg(F.collect_set(F.struct("token", "original", "chain", "originals")).alias("hits"))
 
 
+def _mend_seven_bit(text: str, written: set[str], known: set[str]) -> str:
+    def jis(m: re.Match) -> str:
+        if not seven_bit(m.group()) & known:
+            return m.group()
+        try:
+            return b"".join((b"\x1b$B", m.group(1).encode("ascii"), b"\x1b(B")).decode("iso2022_jp")
+        except UnicodeError:
+            return m.group()
+
+    def seven(m: re.Match) -> str:
+        try:
+            return f"+{m.group(1)}-".encode("ascii").decode("utf-7") if f"+{m.group(1)}-" in known else m.group()
+        except UnicodeError:
+            return m.group()
+
+    if "iso2022_jp" in written:
+        text = _JIS.sub(jis, text)
+    return _SEVEN.sub(seven, text) if "utf-7" in written else text
+
+
 def mend(text: str, hits: list[tuple[str, str, str, int]], used: set[str]) -> str:
     """The text with its garbled parts put back as far as they can be."""
     # The same bytes may be UTF-8 and Japanese; UTF-8 asks for more, so it comes first.
     chains = sorted({CHAIN_OF[h[2]] for h in hits}, key=lambda c: (c[0][0] != "utf-8", -len(c), name_of(c)))
     # A token may come out of several chains, of which the table keeps one; those from UTF-8 can be told by decoding.
+    if any(c[0][0] in _SEVEN_BITS for c in chains):
+        text = _mend_seven_bit(text, {c[0][0] for c in chains}, {h[0] for h in hits})
+        chains = [c for c in chains if c[0][0] not in _SEVEN_BITS]
     chains += [c for c in CHAINS if c[0][0] == "utf-8" and c[0][1] in _SINGLE and c not in chains]
     single = {h[0]: h[1] for h in hits if h[3] == 1}
 

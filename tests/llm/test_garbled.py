@@ -166,3 +166,27 @@ def test_long_words_by_pieces(spark):
     got = {r["row_id"]: r for r in G.restore(ex, corpus.union(own)).collect()}
     assert set(got) == set(range(len(bad)))
     assert all(got[i]["mended"] == bad[i][0] for i in (0, 1))
+
+
+def test_seven_bit_encodings(spark):
+    """ISO-2022-JP without its escape characters, whole, mixed with digits and cut off; UTF-7; and texts that look alike."""
+    text = "出張承認の申請：添付ファイルの欠落。"
+    jis = G.garble(text, G.CHAIN_OF["iso2022_jp>escapes lost"])
+    assert jis.startswith("$B") and jis.endswith("(B") and jis.isascii()
+    mixed = G.garble("5月15日", G.CHAIN_OF["iso2022_jp>escapes lost"])
+    fields = [(1, jis, None, None), (2, f"See {jis} and more", None, None), (3, None, [mixed], None), (4, jis[:-7], None, None), (5, "Die +ANw-berschriften m+APw-ssen", None, None)]
+    fields += [(10, "US$BN 30 (B)", None, None), (11, "+49-30-5550147 +abc-", None, None), (12, "cost $Bxyz$ total", None, None)]
+    _, _, ex, corpus = run(spark, fields)
+    more = spark.createDataFrame([("5月15日",)] * 2, "text string")
+    got = {r["row_id"]: (r["mended"], r["restored"]) for r in G.restore(ex, corpus.union(more)).collect()}
+    assert set(got) == {1, 2, 3, 4, 5}
+    assert got[1] == (text, True) and got[2] == (f"See {text} and more", True) and got[3] == ("5月15日", True)
+    assert got[4][0].startswith("出張承認の申請：添付ファイル") and got[5] == ("Die Überschriften müssen", True)
+
+
+def test_line_drawings(spark):
+    bad = G.garble("├─ in └─ out", G.CHAIN_OF["utf-8>cp1252"])
+    _, _, ex, corpus = run(spark, [(1, bad, None, None), (2, "vault ├─ in └─ out", None, None), (3, G.garble("für", G.CHAIN_OF["utf-8>cp437"]), None, None)])
+    corpus = corpus.union(spark.createDataFrame([("für",)] * 2, "text string"))
+    got = {r["row_id"]: r["mended"] for r in G.restore(ex, corpus).collect()}
+    assert got == {1: "├─ in └─ out", 3: "für"}
