@@ -14,7 +14,7 @@ from folioforge.plans.documents import SQL as _SQL
 from folioforge.plans.walk_sql import NODES, TOKENS
 from folioforge.render import engine
 from folioforge.session import table
-from folioforge.sources import dxl, files
+from folioforge.sources import dxl, dxl_writer, files
 from folioforge.streaming import progress_state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,14 @@ SQL |= {
   FROM (SELECT *, coalesce(try_cast(s AS JSON)::VARCHAR[], []) AS f FROM toks WHERE t IN ('text', 'link'))""",
     "token_links": TOKENS + "SELECT record_id, node_path, kind, href, label FROM (SELECT *, CASE WHEN v ->> '$.a.notes.unid' IS NOT NULL THEN 'notes' WHEN regexp_matches(lower(href), '^https?://') THEN 'http' END AS kind FROM toks WHERE t = 'link') WHERE kind IS NOT NULL",
     "table_widths": NODES + r"""SELECT record_id, regexp_replace(row_path, '\.rows\[\d+\]$', '') AS table_path, count(*)::BIGINT AS n_rows, max(width)::BIGINT AS n_columns FROM (SELECT record_id, parent_path AS row_path, sum(coalesce(try_cast(v ->> '$.colspan' AS INT), 1)) AS width FROM nodes WHERE ends_with("table", '.cells') GROUP BY ALL) GROUP BY ALL""",
+    "table_grid": NODES + r""", cells AS (SELECT record_id, regexp_replace(node_path, '\.rows\[\d+\]\.cells\[\d+\]$', '') AS table_path, dewey[-2] AS r, greatest(coalesce(try_cast(v ->> '$.colspan' AS INT), 1), 1) AS cs, greatest(coalesce(try_cast(v ->> '$.rowspan' AS INT), 1), 1) AS rs, node_path, dewey[-1] AS c FROM nodes WHERE ends_with("table", '.cells')),
+  numbered AS (SELECT *, row_number() OVER (PARTITION BY record_id, table_path ORDER BY r, c) AS k FROM cells),
+  placed AS (
+    SELECT record_id, table_path, k, r, node_path, 0::BIGINT AS col, cs::BIGINT AS after, flatten(list_transform(range(rs), lambda i: list_transform(range(cs), lambda j: (r + i) * 100000 + j))) AS taken FROM numbered WHERE k = 1
+    UNION ALL
+    SELECT record_id, table_path, k, r, node_path, col, col + cs, list_concat(taken, flatten(list_transform(range(rs), lambda i: list_transform(range(cs), lambda j: (r + i) * 100000 + col + j)))) FROM (
+      SELECT n.*, p.taken, list_filter(list_transform(range(len(p.taken) + 1), lambda x: x + CASE WHEN n.r = p.r THEN p.after ELSE 0 END), lambda x: NOT list_contains(p.taken, n.r * 100000 + x))[1] AS col FROM placed p JOIN numbered n ON p.record_id = n.record_id AND p.table_path = n.table_path AND n.k = p.k + 1))
+  SELECT record_id, table_path, r::INT AS "row", col::INT AS col, node_path FROM placed""",
     "cell_attributes": NODES + "SELECT record_id, node_path, concat_ws(' ', " + _SPAN.format("colspan", "coalesce(v ->> '$.colspan', v ->> '$.columnspan')") + ", " + _SPAN.format("rowspan", "v ->> '$.rowspan'") + """, 'style="background-color: ' || nullif(coalesce(v ->> '$.style.bgcolor', v ->> '$.style.style.bgcolor'), '') || ';"') AS attributes FROM nodes WHERE ends_with("table", '.cells')""",
 }
 
@@ -104,34 +112,92 @@ def _dxl_notes(spark: SparkSession, base: str) -> DataFrame:
 QUERIES["dxl_notes"] = _dxl_notes
 
 
+def _exported(spark: SparkSession, base: str) -> DataFrame:
+    """The nested records as exported XML, with fonts, tables, sections, links and pictures; unreadable ones broken."""
+    return dxl_writer.export(table(spark, base, "raw_records"))
+
+
 def _dxl_report(spark: SparkSession, base: str) -> DataFrame:
-    parsed = dxl.normalise(_notes_xml(spark, base))
-    ok = F.col("error").isNull()
-    return parsed.groupBy("db_title").agg(F.count_if(ok).alias("n_ok"), F.count_if(~ok).alias("n_failed"))
+    parsed = dxl.normalise(_exported(spark, base))
+    broken = F.get_json_object("payload", "$.meta.error").isNotNull()
+    return parsed.groupBy("db_title").agg(F.count_if(~broken).alias("n_ok"), F.count_if(broken).alias("n_failed"), F.sum(F.coalesce(F.json_array_length(F.get_json_object("payload", "$.links.http")), F.lit(0)).cast("long")).alias("n_links"))
 
 
 QUERIES["dxl_report"] = _dxl_report
-SQL["dxl_report"] = "SELECT db_title, count(DISTINCT (upper(trim(unid)), replica))::BIGINT AS n_ok, 0::BIGINT AS n_failed FROM doc_fields WHERE unid IS NOT NULL GROUP BY db_title"
+SQL["dxl_report"] = TOKENS + """SELECT db_title, count(*) FILTER (ok)::BIGINT AS n_ok, count(*) FILTER (NOT ok)::BIGINT AS n_failed, sum(n)::BIGINT AS n_links FROM (
+  SELECT db_title, coalesce(json_type(t.j) = 'OBJECT', false) AS ok, (SELECT count(*) FROM toks k WHERE k.record_id = r.record_id AND k.t = 'link' AND starts_with(k.node_path, 'fields.Body.') AND regexp_matches(lower(trim(k.href)), '^https?://')) AS n FROM raw_records r LEFT JOIN texts t ON r.record_id = t.record_id) GROUP BY db_title"""
+
+_KINDS = ("link", "table", "section", "img", "attachmentref", "hr", "br")
+
+
+def _dxl_tokens(spark: SparkSession, base: str) -> DataFrame:
+    """Tokens of each kind after a way through XML and back."""
+    parsed = dxl.normalise(_exported(spark, base)).select(F.col("path").cast("long").alias("record_id"), "payload")
+    return tokens.counts(tokens.tokens(parsed).where(F.col("t").isin(*_KINDS)))
+
+
+QUERIES["dxl_tokens"] = _dxl_tokens
+SQL["dxl_tokens"] = TOKENS + f"SELECT record_id, t, count(*)::BIGINT AS n FROM toks WHERE t IN {_KINDS} AND starts_with(node_path, 'fields.Body.') GROUP BY record_id, t"
+
+
+def _dxl_cells(spark: SparkSession, base: str) -> DataFrame:
+    """Rows and widths of the tables after a way through XML and back, counted by their shape."""
+    parsed = dxl.normalise(_exported(spark, base)).select(F.col("path").cast("long").alias("record_id"), "payload")
+    return tokens.table_widths(parsed).groupBy("record_id", "n_rows", "n_columns").agg(F.count("*").alias("n"))
+
+
+QUERIES["dxl_cells"] = _dxl_cells
+SQL["dxl_cells"] = f"SELECT record_id, n_rows, n_columns, count(*)::BIGINT AS n FROM ({SQL['table_widths']}) WHERE starts_with(table_path, 'fields.Body.') GROUP BY ALL"
+
+
+def _dxl_styles(spark: SparkSession, base: str) -> DataFrame:
+    """Flags and colours of the texts after a way through XML and back: characters of each style."""
+    parsed = dxl.normalise(_exported(spark, base)).select(F.col("path").cast("long").alias("record_id"), "payload")
+    own = tokens.tokens(parsed).where("t = 'text'").withColumn("bare", F.regexp_replace("text", r"\s", ""))
+    flags = F.array_join(F.array_sort(F.coalesce(F.from_json("s", "array<string>"), F.array().cast("array<string>"))), ",")
+    return own.groupBy("record_id", flags.alias("flags"), F.coalesce(F.get_json_object("a", "$.color"), F.lit("")).alias("color")).agg(F.sum(F.length("bare")).alias("n_chars"))
+
+
+QUERIES["dxl_styles"] = _dxl_styles
+SQL["dxl_styles"] = TOKENS + r"""SELECT record_id, array_to_string(list_sort(coalesce(try_cast(s AS JSON)::VARCHAR[], [])), ',') AS flags, coalesce(v ->> '$.a.color', '') AS color, sum(length(regexp_replace(text, '\s', '', 'g')))::BIGINT AS n_chars FROM toks
+  WHERE t = 'text' AND starts_with(node_path, 'fields.Body.') AND regexp_replace(text, '\s', '', 'g') <> '' GROUP BY ALL"""
 
 
 def _notes_with_files(spark: SparkSession, base: str) -> DataFrame:
-    """The attachments of every note as exported XML; a file's content is its name."""
-    a = table(spark, base, "doc_attachments").where("unid IS NOT NULL AND name IS NOT NULL AND type = 'file'")
+    """The attachments of every note as exported XML: files whose content is their name, and inline pictures."""
+    a = table(spark, base, "doc_attachments").where("unid IS NOT NULL AND name IS NOT NULL")
     name = F.replace(fn.escape_html(fn.xml_text(F.col("name"))), F.lit("&#39;"), F.lit("&apos;"))
     data = F.when(F.col("size") > 0, F.base64(F.encode("name", "UTF-8"))).otherwise("")
-    item = F.concat(F.lit("<item name='$FILE'><object><file name='"), name, F.lit("' size='"), F.col("size").cast("string"), F.lit("'><filedata>"), data, F.lit("</filedata></file></object></item>"))
+    file = F.concat(F.lit("<item name='$FILE'><object><file name='"), name, F.lit("' size='"), F.col("size").cast("string"), F.lit("'><filedata>"), data, F.lit("</filedata></file></object></item>"))
     ref = F.concat(F.lit("<attachmentref name='"), name, F.lit("'/>"))
-    each = a.groupBy(note_key(F.col("unid")).alias("unid")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("att_id", item.alias("x")))), lambda x: x["x"]), "").alias("items"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("att_id", ref.alias("x")))), lambda x: x["x"]), "").alias("refs"))
+    picture = F.concat(F.lit("<picture width='1px' height='1px'><gif>"), data, F.lit("</gif></picture>"))
+    is_file = F.col("type") == "file"
+    gathered = lambda x: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("att_id", x.alias("x")))), lambda y: y["x"]), "")
+    each = a.groupBy(note_key(F.col("unid")).alias("unid")).agg(gathered(F.when(is_file, file).otherwise("")).alias("items"), gathered(F.when(is_file, ref).otherwise(picture)).alias("refs"))
     xml = F.concat(F.lit("<note><noteinfo unid='"), "unid", F.lit("'/>"), "items", F.lit("<item name='Body'><richtext><par>"), "refs", F.lit("</par></richtext></item></note>"))
     return each.select(F.col("unid").alias("path"), F.lit("").alias("db_title"), xml.alias("xml"))
 
 
 def _extract(spark: SparkSession, base: str) -> DataFrame:
-    return extraction.extract(_notes_with_files(spark, base)).select("path", "name", "sha256", "size")
+    return extraction.extract(_notes_with_files(spark, base)).select("path", "name", "type", "sha256", "size")
 
 
 QUERIES["extract_files"] = _extract
-SQL["extract_files"] = "SELECT DISTINCT upper(trim(unid)) AS path, name, max(CASE WHEN size > 0 THEN sha256(name) END) OVER w AS sha256, max(CASE WHEN size > 0 THEN strlen(name) ELSE 0 END) OVER w AS size FROM doc_attachments WHERE unid IS NOT NULL AND name IS NOT NULL AND type = 'file' WINDOW w AS (PARTITION BY upper(trim(unid)), name)"
+# Of files with one name the first with a content counts; pictures are numbered through their note.
+SQL["extract_files"] = """WITH a AS (SELECT *, upper(trim(unid)) AS path FROM doc_attachments WHERE unid IS NOT NULL AND name IS NOT NULL)
+SELECT DISTINCT path, name, 'file' AS type, max(CASE WHEN size > 0 THEN sha256(name) END) OVER w AS sha256, max(CASE WHEN size > 0 THEN strlen(name) ELSE 0 END) OVER w AS size FROM a WHERE type = 'file' WINDOW w AS (PARTITION BY path, name)
+UNION ALL SELECT path, 'inline_image_' || (row_number() OVER (PARTITION BY path ORDER BY att_id) - 1), 'image', CASE WHEN size > 0 THEN sha256(name) END, CASE WHEN size > 0 THEN strlen(name) ELSE 0 END FROM a WHERE type <> 'file'"""
+
+
+def _extracted_names(spark: SparkSession, base: str) -> DataFrame:
+    """Whether the names that files are written under are unique in their note, and how many were given a number."""
+    files_ = extraction.extract(_notes_with_files(spark, base))
+    return files_.groupBy("path").agg(F.count("*").alias("n_files"), F.countDistinct("file_name").alias("n_names"))
+
+
+QUERIES["extracted_names"] = _extracted_names
+SQL["extracted_names"] = """WITH a AS (SELECT *, upper(trim(unid)) AS path FROM doc_attachments WHERE unid IS NOT NULL AND name IS NOT NULL), n AS (SELECT path, count(DISTINCT CASE WHEN type = 'file' THEN name END) + count(*) FILTER (type <> 'file') AS n FROM a GROUP BY path)
+SELECT path, n::BIGINT AS n_files, n::BIGINT AS n_names FROM n"""
 
 
 def _file_references(spark: SparkSession, base: str) -> DataFrame:
