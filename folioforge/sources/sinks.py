@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+import posixpath
 import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,14 @@ def quarantine(df: DataFrame, error: str, path: str) -> DataFrame:
     return df.where(F.col(error).isNull())
 
 
+def _open(root: str) -> tuple[pafs.FileSystem, str]:
+    """The file system that a folder's address names (file, hdfs, s3, gs, abfs), and the folder in it."""
+    if "://" in root:
+        fs, base = pafs.FileSystem.from_uri(root)
+        return fs, base.rstrip("/")
+    return pafs.LocalFileSystem(), os.path.realpath(root)
+
+
 def write_files(files: DataFrame, root: str) -> DataFrame:
     """Write (path, content) below a folder all executors share; returns path and error per file.
 
@@ -34,22 +44,30 @@ def write_files(files: DataFrame, root: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        base = os.path.realpath(root)
+        fs, base = _open(root)
+        local = isinstance(fs, pafs.LocalFileSystem)
         for pdf in batches:
             errors = []
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                to = os.path.realpath(os.path.join(base, path))
                 try:
-                    if not to.startswith(base + os.sep):
+                    to = posixpath.normpath(posixpath.join(base, path))
+                    to = os.path.realpath(to) if local else to
+                    if not to.startswith(base + "/"):
                         raise ValueError("path leads out of the folder")
-                    os.makedirs(os.path.dirname(to), exist_ok=True)
+                    fs.create_dir(posixpath.dirname(to), recursive=True)
                     part = f"{to}.{uuid.uuid4().hex}.part"
-                    with open(part, "wb") as f:
+                    with fs.open_output_stream(part) as f:
                         f.write(content)
-                    os.replace(part, to)
+                    fs.move(part, to)
                     errors.append(None)
-                except (OSError, ValueError) as e:
+                except (OSError, ValueError, TypeError) as e:
                     errors.append(str(e)[:400])
             yield pd.DataFrame({"path": pdf["path"], "error": errors})
 
     return files.select("path", "content").mapInPandas(run, "path string, error string")
+
+
+def write_documents(documents: DataFrame, root: str) -> DataFrame:
+    """Write (path, payload) as one JSON file per document, ``path`` without its ending and ``.json``; path and error."""
+    to = F.concat(F.regexp_replace("path", r"\.[^./]+$", ""), F.lit(".json"))
+    return write_files(documents.select(to.alias("path"), F.encode("payload", "UTF-8").alias("content")), root)

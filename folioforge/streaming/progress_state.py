@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.operators.progress import note_key
-from folioforge.session import checkpoint_dir
+from folioforge.session import checkpoint, checkpoint_dir
 
 
 def stream(log: DataFrame) -> DataFrame:
@@ -40,7 +40,8 @@ def _source(spark: SparkSession, path: str) -> tuple[str, str]:
 def snapshot(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
     """Read a folder of parquet log files as a stream to its end; the state after the last batch.
 
-    Each batch is folded into a table in the shared checkpoint folder, so the result doesn't live on the driver.
+    Each batch is folded into a table in the shared checkpoint folder, so the result doesn't live on the driver; what the
+    stream wrote is deleted once the state is checkpointed.
     """
     schema = spark.read.parquet(path).schema
     own = f"{checkpoint_dir(spark)}/progress-{uuid.uuid4().hex}"
@@ -54,4 +55,9 @@ def snapshot(spark: SparkSession, path: str, files_per_batch: int = 100) -> Data
     query.awaitTermination()
     changes = spark.read.parquet(own)
     columns = ["line_no", "ts", "status", "try_no", "err", "out_path"]
-    return changes.groupBy("db", "unid").agg(F.max(F.struct("batch", *columns)).alias("m")).select("db", "unid", *[f"m.{c}" for c in columns])
+    state = changes.groupBy("db", "unid").agg(F.max(F.struct("batch", *columns)).alias("m")).select("db", "unid", *[f"m.{c}" for c in columns])
+    state = checkpoint(state)
+    for used in (own, f"{own}-state"):
+        folder_ = spark._jvm.org.apache.hadoop.fs.Path(used)
+        folder_.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder_, True)
+    return state

@@ -174,3 +174,45 @@ def test_extraction_and_folders(spark, tmp_path):
     assert {r["path"] for r in extraction.empty_folders(folders, held, keep=("e",)).collect()} == {"a/c", "a/c/d"}
     (tmp_path / "p.json").write_text(json.dumps({"profiles": [{"name": "a", "type": "x"}, {"type": "y"}, {"name": "a", "type": "z"}]}))
     assert {r["name"]: r["settings"]["type"] for r in files.profiles(spark, str(tmp_path / "p.json")).collect()} == {"a": "z", "profile_2": "y"}
+
+
+def test_unique_names(spark):
+    """Generated names count as well as given ones; notes don't meet; a name of another ending is another name."""
+    from folioforge.operators.attachments import unique_names
+
+    rows = [(1, "u", "a.txt"), (2, "u", "a.txt"), (3, "u", "a_2.txt"), (4, "u", "a.txt"), (5, "u", "a.pdf"), (6, "v", "a.txt"), (7, None, "a.txt"), (8, None, "a.txt"), (9, "u", "a_2.txt"), (10, "u", "x"), (11, "u", "x")]
+    got = {r["i"]: r["file_name"] for r in unique_names(spark.createDataFrame(rows, "i int, unid string, pretty string"), "unid", "i").collect()}
+    assert got == {1: "a.txt", 2: "a_2.txt", 3: "a_2_2.txt", 4: "a_3.txt", 5: "a.pdf", 6: "a.txt", 7: "a.txt", 8: "a_2.txt", 9: "a_2_3.txt", 10: "x", 11: "x_2"}
+    taken = [got[i] for i, u, _ in rows if u == "u"]
+    assert len(set(taken)) == len(taken)
+
+
+def test_documents_to_files(spark, tmp_path):
+    docs = spark.createDataFrame([("a/b.xml", '{"x": "ü"}'), ("../c.xml", "{}"), ("d", None)], "path string, payload string")
+    for root in (str(tmp_path / "one"), f"file://{tmp_path}/two"):
+        got = {r["path"]: r["error"] for r in sinks.write_documents(docs, root).collect()}
+        assert got["a/b.json"] is None and got["../c.json"] and got["d.json"]
+    assert (tmp_path / "one/a/b.json").read_text() == (tmp_path / "two/a/b.json").read_text() == '{"x": "ü"}'
+    assert sorted(p.name for p in tmp_path.rglob("*") if p.is_file()) == ["b.json", "b.json"]
+
+
+def test_written_notes_read_again():
+    """Fonts, tables in sections in tables, links, pictures and paragraph styles survive the way through XML."""
+    from folioforge.sources import dxl_writer
+
+    cell = {"runs": [{"t": "text", "text": "a < b & 'c' \"d\"", "s": ["b", "s"], "a": {"color": "red", "script": "sub"}}], "colspan": 2}
+    runs = [{"t": "par", "a": {"align": "justify", "list": {"type": "number"}}}, {"t": "text", "text": "x"}, {"t": "table", "columns": [{"width": "2in"}], "rows": [{"cells": [cell, {"runs": [{"t": "section", "title_runs": [{"t": "text", "text": "T"}], "body_runs": [{"t": "table", "rows": {"cells": {"runs": {"t": "hr"}}}}]}]}]}]}]
+    runs += [{"t": "link", "href": "https://a.example/?x=1&y=2", "label": "L>"}, {"t": "link", "label": "N", "notes": {"unid": "U1", "replica": "R"}}, {"t": "img", "alt": "inline_image_0"}, {"t": "attachmentref", "name": "f'>.pdf", "displayname": "F"}]
+    doc, payloads = dxl.parse(dxl_writer.write({"meta": {"unid": "U"}, "fields": {"Body": {"type": "richtext", "runs": runs}, "Cats": {"value": ["p", "q&"]}}}), "db")
+    flat = [r["t"] for r in dxl.walk(doc["fields"]["Body"]["runs"])]
+    assert [t for t in flat if t not in ("par", "text")] == ["table", "section", "table", "hr", "link", "link", "img", "attachmentref"]
+    body = doc["fields"]["Body"]["runs"]
+    assert body[0]["a"] == {"align": "justify", "list": {"type": "number", "raw": "number"}}
+    first = next(r for r in body if r["t"] == "table")["rows"][0]["cells"][0]
+    text = next(r for r in first["runs"] if r["t"] == "text")
+    assert first["colspan"] == 2 and text["text"] == "a < b & 'c' \"d\"" and text["s"] == ["b", "s"] and text["a"]["script"] == "sub" and text["a"]["color"] == "red"
+    assert doc["fields"]["Cats"]["value"] == ["p", "q&"] and doc["links"]["notes"][0]["unid"] == "U1" and len(payloads) == 1
+    run = {"t": "text", "text": "deep"}
+    for _ in range(3000):
+        run = {"t": "section", "title_runs": [], "body_runs": [run]}
+    assert dxl_writer.write({"fields": {"Body": {"runs": [run]}}}).count("<section>") == 3000
