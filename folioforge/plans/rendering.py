@@ -110,6 +110,13 @@ def _dxl_notes(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES["dxl_notes"] = _dxl_notes
+_BLANKS = r"[\s\x{3000}\x{00A0}\x{0085}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x1c-\x1f]+"
+# The last subject with a text counts; paragraphs are lines, blanks in them single and their ends trimmed; bodies are joined.
+SQL["dxl_notes"] = rf"""WITH f AS (SELECT upper(trim(unid)) AS unid, replica, db_title, name, type, ord, field_id, regexp_replace(value, '[\x00-\x08\x0b\x0c\x0e-\x1f\x{{FFFE}}\x{{FFFF}}]', '', 'g') AS value, value_list FROM doc_fields WHERE unid IS NOT NULL),
+lines AS (SELECT unid, replica, db_title, ord, field_id, array_to_string(list_filter(list_transform(string_split(coalesce(value, ''), chr(10)), lambda l: regexp_replace(ltrim(regexp_replace(l, '[ \t\r\n]+', ' ', 'g'), ' '), '{_BLANKS}$', '')), lambda l: l <> ''), chr(10)) AS text FROM f WHERE name = 'Body' AND type = 'richtext'),
+bodies AS (SELECT unid, replica, db_title, string_agg(text, chr(10) ORDER BY ord, field_id) AS body FROM lines GROUP BY ALL),
+subjects AS (SELECT unid, replica, db_title, arg_max(subject, (ord, field_id)) AS subject FROM (SELECT *, regexp_replace(regexp_replace(value, '{_BLANKS}$', ''), '^{_BLANKS}', '') AS subject FROM f WHERE name = 'Subject') WHERE subject <> '' GROUP BY ALL)
+SELECT replica || '/' || n.unid AS path, n.unid, NULL::VARCHAR AS error, subject, body FROM (SELECT DISTINCT unid, replica, db_title FROM f) n LEFT JOIN bodies USING (unid, replica, db_title) LEFT JOIN subjects USING (unid, replica, db_title)"""
 
 
 def _exported(spark: SparkSession, base: str) -> DataFrame:
