@@ -32,7 +32,7 @@ def _open(root: str) -> tuple[pafs.FileSystem, str]:
     """The file system that a folder's address names (file, hdfs, s3, gs, abfs), and the folder in it."""
     if "://" in root:
         fs, base = pafs.FileSystem.from_uri(root)
-        return fs, base.rstrip("/")
+        return fs, os.path.realpath(base) if isinstance(fs, pafs.LocalFileSystem) else base.rstrip("/")
     return pafs.LocalFileSystem(), os.path.realpath(root)
 
 
@@ -54,6 +54,8 @@ def write_files(files: DataFrame, root: str) -> DataFrame:
                     to = os.path.realpath(to) if local else to
                     if not to.startswith(base + "/"):
                         raise ValueError("path leads out of the folder")
+                    if content is None:
+                        raise ValueError("no content")
                     fs.create_dir(posixpath.dirname(to), recursive=True)
                     part = f"{to}.{uuid.uuid4().hex}.part"
                     with fs.open_output_stream(part) as f:
