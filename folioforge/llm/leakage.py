@@ -10,8 +10,8 @@ spaces. Letter case, width, invisible characters, spacing, line breaks, markup a
 no test item has can't be part of a match, so it ends a run, and runs too short for a match are left out of the suffix
 array: that loses nothing.
 
-The items are broadcast in blocks of at most ``BLOCK_TOKENS`` tokens; more items mean more blocks, each read against
-the whole corpus. Shards follow each other in a task, which holds one of them; a document is never cut. A passage that
+The items are broadcast in blocks of at most ``BLOCK_TOKENS`` tokens; more items mean more blocks, ``BLOCKS`` of which
+are met in one reading of the corpus. Shards follow each other in a task, which holds one of them; a document is never cut. A passage that
 many documents of a shard hold is matched with the items once, and its pairs leave the task as they are made.
 
 Defined results: null and empty texts match nothing; items with fewer tokens than a match needs can't leak; repeated
@@ -23,7 +23,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import batched, repeat
 
 import numpy as np
 import pandas as pd
@@ -35,6 +35,8 @@ MIN_LETTERS = 30
 SPACELESS = ("ja", "zh", "th")
 SHARD_TOKENS = 2_000_000
 BLOCK_TOKENS = 2_000_000
+#: Blocks of items that one reading of the corpus serves.
+BLOCKS = 4
 #: Pairs of a place or document with an item that are held at once.
 PAIRS = 2_000_000
 
@@ -273,16 +275,22 @@ class Shard:
 
 
 def _blocks(items: DataFrame, block_tokens: int) -> Iterator[list]:
-    """The items in blocks of bounded size, streamed to the driver."""
+    """The items, cut into tokens on the executors, in blocks of bounded size, streamed to the driver."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            own = [words(t) for t in pdf["text"]]
+            spaceless = [(x or "").split("-")[0] in SPACELESS for x in pdf["l"]]
+            yield pd.DataFrame({"i": pdf["i"], "spaceless": spaceless, "tokens": [list("".join(w)) if s else w for w, s in zip(own, spaceless, strict=True)]})
+
+    rows = items.select(F.col("item_id").cast("long").alias("i"), F.lower(F.trim("lang")).alias("l"), F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
     block, size = [], 0
-    for row in items.select(F.col("item_id").cast("long").alias("i"), F.lower(F.trim("lang")).alias("l"), "text").where(F.col("text").isNotNull()).orderBy("i").toLocalIterator():
-        tokens = words(row["text"])
-        spaceless = (row["l"] or "").split("-")[0] in SPACELESS
-        tokens = list("".join(tokens)) if spaceless else tokens
+    for row in rows.mapInPandas(cut, "i long, spaceless boolean, tokens array<string>").orderBy("i").toLocalIterator():
+        tokens = row["tokens"]
         if block and size + len(tokens) > block_tokens:
             yield block
             block, size = [], 0
-        block.append((row["i"], spaceless, tokens))
+        block.append((row["i"], row["spaceless"], tokens))
         size += len(tokens)
     yield block
 
@@ -292,25 +300,28 @@ def leaks(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, mi
     sc = documents.sparkSession.sparkContext
     corpus = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
     out = None
-    for block in _blocks(items, block_tokens):
-        shared = sc.broadcast((Items([(i, t) for i, s, t in block if not s], min_words), Items([(i, t) for i, s, t in block if s], min_letters)))
+    for group in batched(_blocks(items, block_tokens), BLOCKS):
+        shared = sc.broadcast([(Items([(i, t) for i, s, t in block if not s], min_words), Items([(i, t) for i, s, t in block if s], min_letters)) for block in group])
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            by_word, by_letter = (Shard(x) for x in shared.value)
-            known, letters = by_word.items.ids, by_letter.items.letters
+            shards = [(Shard(by_word), Shard(by_letter)) for by_word, by_letter in shared.value]
             for pdf in batches:
                 for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
                     own = words(text)
-                    if known:
-                        by_word.add(doc, np.fromiter(map(known.get, own, repeat(0)), np.int32, len(own)))
-                    if by_letter.items.ids and (not by_letter.items.marked or _MARK.search(text)):
-                        codes = np.frombuffer("".join(own).encode("utf-32-le", "replace"), np.uint32)
-                        by_letter.add(doc, letters[np.minimum(codes, len(letters) - 1)])
-                    for shard in (by_word, by_letter):
-                        if shard.size >= shard_tokens:
-                            yield from shard.matches()
-            for shard in (by_word, by_letter):
-                yield from shard.matches()
+                    letters = None
+                    for by_word, by_letter in shards:
+                        if known := by_word.items.ids:
+                            by_word.add(doc, np.fromiter(map(known.get, own, repeat(0)), np.int32, len(own)))
+                        if by_letter.items.ids and (not by_letter.items.marked or _MARK.search(text)):
+                            if letters is None:
+                                letters = np.frombuffer("".join(own).encode("utf-32-le", "replace"), np.uint32)
+                            by_letter.add(doc, by_letter.items.letters[np.minimum(letters, len(by_letter.items.letters) - 1)])
+                        for shard in (by_word, by_letter):
+                            if shard.size >= shard_tokens:
+                                yield from shard.matches()
+            for pair in shards:
+                for shard in pair:
+                    yield from shard.matches()
 
         part = corpus.mapInPandas(run, "doc_id long, item_id long, longest long, doc_place long, item_place long")
         out = part if out is None else out.union(part)

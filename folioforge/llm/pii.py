@@ -44,6 +44,8 @@ CACHE_ROWS = 1_000_000
 #: Cells (form, class, mark) and classes that the caches number before they start anew.
 CELLS, CLASSES = 1 << 15, 128
 EPOCHS = 6
+#: Added to the score for a name of an unknown capitalised word beside another.
+UNKNOWN_PAIR = 1.0
 #: Tokens to the left and right within which a cue word counts.
 CUE_LEFT, CUE_RIGHT = 8, 3
 ITEMS = ("Body", "Comment", "Remarks")
@@ -799,8 +801,11 @@ def fit(sample: list[str], names: Directory, epochs: int = EPOCHS) -> Model:
     w, g2 = np.zeros((max(1, len(index)), labels), np.float32), np.full((max(1, len(index)), labels), 1e-6, np.float32)
     trans, tg2 = np.zeros((labels, labels)), np.full((labels, labels), 1e-6)
     data.sort(key=lambda d: len(d[2]))
-    batches = [_batch(data[i : i + 40]) for i in range(0, len(data), 40)]
-    data.clear()
+    known.clear()
+    batches = []
+    while data:  # from the longest, each given up as it is taken
+        batches.append(_batch(data[-40:]))
+        del data[-40:]
     rng = np.random.default_rng(7)
     for epoch in range(epochs):
         rate = 0.3 / (1 + 0.3 * epoch)
@@ -818,6 +823,10 @@ def fit(sample: list[str], names: Directory, epochs: int = EPOCHS) -> Model:
             grad_t = turns - pair
             tg2 += grad_t**2
             trans += rate * grad_t / np.sqrt(tg2)
+    # Two unknown capitalised words in a row are names more often than in the sample, whose words are all known.
+    for name, k in index.items():
+        if name.startswith(("rr=00|cap|cap", "rs=00|cap|cap")):
+            w[k, NAME] += UNKNOWN_PAIR
     skip = float(np.clip(np.log((same + 1) * (labels - 1) / (differ + 1)), 0.0, 3.0))
     return Model(index, w, trans.astype(np.float32), skip)
 
