@@ -222,7 +222,12 @@ def seven_bit(text: str) -> set[str]:
             if len(own) == 2:
                 out.add(f"$B{own}(B")
     if "+" in text:
-        out.update([f"+{own}-" for own in _SEVEN.findall(text)])
+        for own in _SEVEN.findall(text):
+            try:  # telephone numbers and the like decode to nothing
+                f"+{own}-".encode("ascii").decode("utf-7")
+            except UnicodeError:
+                continue
+            out.add(f"+{own}-")
     return out
 
 
